@@ -216,27 +216,27 @@ def to_common_unit(df: DataFrame, id_col: str, lower: str, upper: str, kind: str
     factors = {(r["kind"], r["code"]): int(r["factor"]) for r in reference(units.select("kind", "code", "factor"))}
     default = {r["source"]: (r["period"], int(r["scale"])) for r in reference(sources.select("source", "period", "scale"))}
 
-    @lru_cache(maxsize=100_000)
-    def yearly(text: str, kind_text: str | None, where: str | None, end: int) -> int | None:
-        q = parse(text)
-        if q is None or not q.ends:
-            return None
-        value = max(q.ends) if end else min(q.ends)
-        period = q.period or period_of(kind_text)
-        if period is None:
-            known = default.get(where if where is not None else default_source)
-            if known is None:
+    def read(batches):
+        @lru_cache(maxsize=100_000)
+        def yearly(text: str, kind_text: str | None, where: str | None, end: int) -> int | None:
+            q = parse(text)
+            if q is None or not q.ends:
+                return None
+            value = max(q.ends) if end else min(q.ends)
+            period = q.period or period_of(kind_text)
+            if period is None:
+                known = default.get(where if where is not None else default_source)
+                if known is None:
+                    return None
+                period, scale = known
+                if not q.scaled:
+                    value *= scale
+            money = factors.get(("currency", q.currency or "JPY"))
+            times = factors.get(("period", period))
+            if money is None or times is None:
                 return None
-            period, scale = known
-            if not q.scaled:
-                value *= scale
-        money = factors.get(("currency", q.currency or "JPY"))
-        times = factors.get(("period", period))
-        if money is None or times is None:
-            return None
-        return int((value * money * times * 2 + 1) // 2)
+            return int((value * money * times * 2 + 1) // 2)
 
-    def read(batches):
         for b in batches:
             ids, low, high, kinds, where = (c.to_pylist() for c in b.columns)
             rows: tuple[list, ...] = ([], [], [])

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from adloom.llm.copies import copy_groups
+from adloom.llm.encoding import encode_corpus
 from adloom.llm.neardup import version_groups
+from adloom.llm.packing import fill_containers
+from adloom.llm.splitting import split_long
 from adloom.session import table
 
 
@@ -19,8 +22,20 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return version_groups(ads, "id", "responsibilities", ("job_title", "employer"), ("employer", "responsibilities"))
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_containers(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_long(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict:
-    return {"p4_found": p4_found, "p5_found": p5_found}
+    return {"p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -151,7 +151,7 @@ def fill_containers(df: DataFrame, id_col: str, text_col: str, capacity: int = 2
     rest = items.where(F.col("n_tokens") < capacity)
     blocks = max(1, -(-rest.count() // BLOCK))
 
-    def fill(key, t: pa.Table) -> pa.Table:
+    def fill(key, t):
         block = key[0].as_py()
         t = t.sort_by([("n_tokens", "descending"), ("id", "ascending"), ("part", "ascending")])
         where = pack(t.column("n_tokens").to_numpy(), capacity)

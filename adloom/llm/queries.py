@@ -3,15 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adloom.llm.copies import copy_groups
 from adloom.llm.encoding import encode_corpus
+from adloom.llm.langid import fit, language_labels
 from adloom.llm.neardup import version_groups
 from adloom.llm.packing import fill_containers
+from adloom.llm.pairs import broken_pairs, fit_judge
 from adloom.llm.splitting import split_long
 from adloom.session import table
 
 
+LABELS = {"responsibilities": "responsibilities_lang", "job_title": "job_title_lang"}
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ads = table(spark, sf_dir, "jobads_jp")
+    judge = fit_judge(ads, "responsibilities", "description_english", "job_title_english", fit(ads, LABELS))
+    return broken_pairs(ads, "id", ("responsibilities", "description_english"), ("job_title", "job_title_english"), judge)
+
+
+def p2_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text and segment with its language and confidence."""
+    ads = table(spark, sf_dir, "jobads_jp")
+    model = fit(ads, LABELS)
+    return language_labels(ads, "id", "responsibilities", "responsibilities_lang", "job_title", "job_title_lang", "employer", model)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_labels(spark, sf_dir).where((F.col("n_segments") > 1) | ~F.col("label_right")).select("id", "field_name", "seg", "lang")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = table(spark, sf_dir, "jobads_jp")
     return copy_groups(ads, "id", ("job_title", "employer"), "responsibilities", ("employer", "responsibilities"))
@@ -35,7 +58,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_pieces": p10_pieces}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_labels": p2_labels, "p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:

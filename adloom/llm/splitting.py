@@ -9,8 +9,6 @@ the encoding (inside a piece, or after whitespace) the piece is encoded by itsel
 
 from __future__ import annotations
 
-import bisect
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,23 +43,26 @@ def strengths(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def cuts(place: list[int], total: list[int], strength: list[int], limit: int, overlap: int) -> list[int]:
-    """Indices of the boundaries at which to cut. place and total: code points and tokens before each boundary, the
-    first 0 and the last the whole; no two neighbours lie limit - overlap tokens apart."""
+def cuts(total: np.ndarray, strength: np.ndarray, limit: int, overlap: int) -> list[int]:
+    """Indices of the boundaries at which to cut. total: tokens before each boundary, the first 0 and the last the whole; no two
+    neighbours lie limit - overlap tokens apart."""
     room, out, todo = limit - overlap, [], [(0, len(total) - 1)]
     while todo:
         lo, hi = todo.pop()
-        size = total[hi] - total[lo]
+        first = int(total[lo])
+        size = int(total[hi]) - first
         if size <= room or hi - lo < 2:
             continue
-        middle, reach = total[lo] + size / 2, size * REACH
-        a = max(bisect.bisect_left(total, middle - reach, lo + 1, hi), lo + 1)
-        b = min(bisect.bisect_right(total, middle + reach, lo + 1, hi), hi)
+        middle, reach = first + size / 2, size * REACH
+        a, b = total.searchsorted((middle - reach, middle + reach))
+        a, b = max(int(a), lo + 1), min(int(b), hi)
         if a >= b:
-            near = bisect.bisect_left(total, middle, lo + 1, hi - 1)
-            a, b = max(lo + 1, near - 1), min(hi, near + 2)
-        top = max(strength[a:b])
-        best = min((k for k in range(a, b) if strength[k] == top), key=lambda k: abs(total[k] - middle))
+            near = int(total.searchsorted(middle))
+            a = max(lo + 1, min(near - 1, hi - 1))
+            b = max(a + 1, min(hi, near + 1))
+        s = strength[a:b]
+        top = np.nonzero(s == s.max())[0]
+        best = a + int(top[np.abs(total[a:b][top] - middle).argmin()])
         out.append(best)
         todo += [(lo, best), (best, hi)]
     return sorted(out)
@@ -70,44 +71,47 @@ def cuts(place: list[int], total: list[int], strength: list[int], limit: int, ov
 def _inner(e: Encoder, text: str, offset: int, index: int, limit: int) -> list[tuple[int, int]]:
     """(code point, tokens) inside one piece of many tokens, where tokens end with a character."""
     ids = e.flat[e.begin[index] : e.begin[index] + e.count[index]]
-    ends = np.cumsum(e.v.length[ids])
-    sizes = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in text])
-    at = np.searchsorted(sizes, ends)
-    hit = sizes[np.minimum(at, len(sizes) - 1)] == ends
-    return [(offset + int(c) + 1, k + 1) for k, (c, h) in enumerate(zip(at, hit)) if h][:-1]
+    ends = np.cumsum(e.v.length[ids])[:-1]
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    sizes = np.cumsum(1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF))
+    at = sizes.searchsorted(ends)
+    hit = np.nonzero(sizes[at] == ends)[0]
+    return list(zip((at[hit] + offset + 1).tolist(), (hit + 1).tolist()))
 
 
-def split_text(e: Encoder, text: str, place: np.ndarray, index: np.ndarray, strength: np.ndarray, limit: int, overlap: int) -> list[tuple[int, int, int]]:
-    """(start, end, tokens) of the pieces of a text above the limit."""
+def split_text(e: Encoder, text: str, place: np.ndarray, index: np.ndarray, strength: np.ndarray, limit: int, overlap: int, exact: bool = True) -> list[tuple[int, int, int]]:
+    """(start, end, tokens) of the pieces of a text above the limit; tokens are -1 where only encoding the piece by itself tells, unless exact."""
     counts = e.count[index]
-    p, t, s = [], [], []
-    done = 0
-    for k, (c, n) in enumerate(zip(place.tolist(), counts.tolist())):
-        p.append(c)
-        t.append(done)
-        s.append(int(strength[k]))
-        if n > overlap // 2:
-            end = int(place[k + 1]) if k + 1 < len(place) else len(text)
-            for inside, m in _inner(e, text[c:end], c, int(index[k]), limit):
-                p.append(inside)
-                t.append(done + m)
-                s.append(INSIDE)
-        done += n
-    p.append(len(text))
-    t.append(done)
-    s.append(PARAGRAPH)
-    at = [0, *cuts(p, t, s, limit, overlap), len(p) - 1]
+    p = np.append(place, len(text))
+    t = np.append(0, np.cumsum(counts))
+    s = np.append(strength, PARAGRAPH)
+    big = np.nonzero(counts > overlap // 2)[0]
+    if len(big):
+        more = []
+        for k in big.tolist():
+            c, done = int(p[k]), int(t[k])
+            more += [(x, done + m) for x, m in _inner(e, text[c : int(p[k + 1])], c, int(index[k]), limit)]
+        if more:
+            extra = np.array(more)
+            order = np.argsort(np.append(p, extra[:, 0]), kind="stable")
+            p, t = np.append(p, extra[:, 0])[order], np.append(t, extra[:, 1])[order]
+            s = np.append(s, np.full(len(extra), INSIDE))[order]
+    at = [0, *cuts(t, s, limit, overlap), len(p) - 1]
     out = []
     for a, b in zip(at, at[1:]):
         o = a
         if a:
-            o = bisect.bisect_left(t, t[a] - overlap, 0, a)
+            o = int(t[:a].searchsorted(t[a] - overlap))
             # a cut at a sentence or line is worth a few tokens less of overlap
-            near = [k for k in range(o, a) if s[k] >= SENTENCE and t[a] - t[k] >= overlap * 3 // 4]
-            o = near[0] if near else o
+            near = np.nonzero((s[o:a] >= SENTENCE) & (t[o:a] <= t[a] - overlap * 3 // 4))[0]
+            o += int(near[0]) if len(near) else 0
         while True:
-            sure = s[o] > INSIDE and s[b] > INSIDE and not text[p[b] - 1].isspace()
-            n = t[b] - t[o] if sure else int(e.sizes([text[p[o] : p[b]]])[0])
+            end = int(p[b])
+            sure = s[o] > INSIDE and s[b] > INSIDE and not (text[end - 1].isspace() and text[end - 2 : end - 1].isspace())
+            if not sure and not exact:
+                n = -1
+                break
+            n = int(t[b] - t[o]) if sure else int(e.sizes([text[p[o] : p[b]]])[0])
             if n <= limit or o >= a:
                 break
             o += 1
@@ -115,9 +119,9 @@ def split_text(e: Encoder, text: str, place: np.ndarray, index: np.ndarray, stre
             m = a + (b - a) // 2
             if a < m < b:
                 for x, y in ((o, m), (m, b)):
-                    out.append((p[x], p[y], int(e.sizes([text[p[x] : p[y]]])[0])))
+                    out.append((int(p[x]), int(p[y]), int(e.sizes([text[p[x] : p[y]]])[0])))
                 continue
-        out.append((p[o], p[b], n))
+        out.append((int(p[o]), int(p[b]), n))
     return out
 
 
@@ -142,9 +146,23 @@ def split_long(df: DataFrame, id_col: str, text_col: str, limit: int = 512, over
                 bounds = np.searchsorted(owner, np.arange(len(part) + 1))
                 total = np.bincount(owner, e.count[index], len(part))
                 rows: tuple[list, ...] = ([], [], [], [], [], [])
+                cut: list = []
                 for k in np.nonzero(total > limit)[0]:
                     x, y = bounds[k], bounds[k + 1]
-                    for n, (start, end, size) in enumerate(split_text(e, part[k], starts[x:y] - starts[x], index[x:y], strength[x:y], limit, overlap)):
+                    got = split_text(e, part[k], starts[x:y] - starts[x], index[x:y], strength[x:y], limit, overlap, exact=False)
+                    cut.append((k, got))
+                open_ = [(m, n) for m, (_, got) in enumerate(cut) for n, piece in enumerate(got) if piece[2] < 0]
+                sizes = e.sizes([part[cut[m][0]][cut[m][1][n][0] : cut[m][1][n][1]] for m, n in open_])
+                again = set()
+                for (m, n), size in zip(open_, sizes.tolist()):
+                    cut[m][1][n] = (*cut[m][1][n][:2], size)
+                    if size > limit:
+                        again.add(m)
+                for m, (k, got) in enumerate(cut):
+                    if m in again:
+                        _, place, _, own = e.pieces([part[k]])
+                        got = split_text(e, part[k], place, own, strength[bounds[k] : bounds[k + 1]], limit, overlap)
+                    for n, (start, end, size) in enumerate(got):
                         for r, v in zip(rows, (ids[lo + k], n, start, end, size, part[k][start:end])):
                             r.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(r, pa.string() if i == 5 else pa.int64()) for i, r in enumerate(rows)], ["id", "piece", "start", "end", "n_tokens", "text"])

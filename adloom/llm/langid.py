@@ -84,11 +84,12 @@ class Model:
         gram_totals = {x: sum(grams[x].values()) + 0.5 * 5000 for x in self.latin}
         self.grams = {g: tuple(math.log((grams[x][g] + 0.5) / gram_totals[x]) for x in self.latin) for g in {g for c in grams.values() for g in c}}
         self.no_gram = tuple(math.log(0.5 / gram_totals[x]) for x in self.latin)
+        self._memo: dict[str, tuple[float, ...] | None] = {}
         total = {x: sum(chars[x].values()) + 1 for x in ("ja", "zh")}
         self.chars = {c: max(-5.0, min(5.0, math.log((chars["ja"][c] + 0.1) / total["ja"]) - math.log((chars["zh"][c] + 0.1) / total["zh"]))) for c in set(chars["ja"]) | set(chars["zh"])}
 
     def word(self, w: str) -> tuple[float, ...] | None:
-        """Scores by Latin-script language, 0 at best; None for what looks like a name."""
+        """Scores by Latin-script language, 0 at best; None for what looks like a name or tells nothing."""
         low = w.lower()
         got = self.words.get(low)
         if got is None and len(low) > 2 and not w[:1].isupper():
@@ -96,29 +97,41 @@ class Model:
             raw = [sum(x) for x in zip(*(self.grams.get(p[k : k + 3], self.no_gram) for k in range(len(p) - 2)))]
             top = max(raw)
             got = tuple(max(-3.0, (r - top) / 2) for r in raw)
-        return got
+        return got if got and min(got) < 0 else None
 
     def score(self, s: str, all_words: bool = False) -> dict[str, float] | None:
         """Log scores (0 at best) of the languages a sentence may be in; None if it has no words of a language."""
-        kana = len(_KANA.findall(s))
-        if kana > 1:
-            return {"ja": 0.0}
-        if len(_HANGUL.findall(s)) > 1:
-            return {"ko": 0.0}
-        han = _HAN.findall(s)
-        if len(han) > 1 or (han and kana):
-            d = sum(self.chars.get(c, 0.0) for c in han) + (3.0 if kana else 0.0)
-            return {"ja": min(d, 0.0), "zh": min(-d, 0.0)}
-        totals, telling, found = [0.0] * len(self.latin), 0, [w for w in _WORD.findall(s) if not (_KANA.search(w) or _HAN.search(w) or _HANGUL.search(w))]
+        latin = s.isascii() or max(s) < "ᄀ"
+        if not latin:
+            kana = len(_KANA.findall(s))
+            if kana > 1:
+                return {"ja": 0.0}
+            if len(_HANGUL.findall(s)) > 1:
+                return {"ko": 0.0}
+            han = _HAN.findall(s)
+            if len(han) > 1 or (han and kana):
+                d = sum(self.chars.get(c, 0.0) for c in han) + (3.0 if kana else 0.0)
+                return {"ja": min(d, 0.0), "zh": min(-d, 0.0)}
+        found = _WORD.findall(s)
+        if not latin:
+            found = [w for w in found if max(w) < "ᄀ"]
+        if not found or (len(found) < 2 and not all_words):
+            return None  # one word is a name or a mark (TEL, No.), unless it is all there is
+        memo, rows = self._memo, []
         for w in found:
-            got = self.word(w.lower() if all_words else w)
-            if got and min(got) < 0:
-                telling += 1
-                for i, x in enumerate(got):
-                    totals[i] += x
-        # one word is a name or a mark (TEL, No.), unless it is all there is
-        if not telling or (len(found) < 2 and not all_words):
+            if all_words:
+                w = w.lower()
+            if w in memo:
+                got = memo[w]
+            else:
+                if len(memo) > 200_000:
+                    memo.clear()
+                got = memo[w] = self.word(w)
+            if got is not None:
+                rows.append(got)
+        if not rows:
             return None
+        totals = [sum(x) for x in zip(*rows)]
         top = max(totals)
         return {x: t - top for x, t in zip(self.latin, totals)}
 

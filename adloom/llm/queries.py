@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adloom.llm.canon import canonical_codes
 from adloom.llm.copies import copy_groups
 from adloom.llm.encoding import encode_corpus
 from adloom.llm.langid import fit, language_labels
@@ -45,6 +46,13 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return version_groups(ads, "id", "responsibilities", ("job_title", "employer"), ("employer", "responsibilities"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ads = table(spark, sf_dir, "jobads_jp")
+    judge = fit_judge(ads, None, None, "job_title_english", fit(ads, LABELS))
+    fields = ("job_title_english", "esco_occupation_title_semantic")
+    return canonical_codes(ads, "id", fields, table(spark, sf_dir, "esco_occupations"), "code", "title", "alt_titles", judge, ("job_title", "job_title_english"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -58,7 +66,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_labels": p2_labels, "p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_pieces": p10_pieces}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_labels": p2_labels, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -131,7 +131,7 @@ def attention(tokens: DataFrame, skills: DataFrame, sentence: str, token: str, v
     z = np.array([r[1] for r in rows], np.float64) if rows else np.zeros((0, 1))
     shared = tokens.sparkSession.sparkContext.broadcast((names, z))
 
-    def score(key, t: pd.DataFrame) -> pd.DataFrame:
+    def score(key, t):
         names, z = shared.value
         x = np.stack(t[vector].to_numpy()).astype(np.float64)
         d = x @ z.T

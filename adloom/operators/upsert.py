@@ -37,8 +37,8 @@ def insert_absent(target: DataFrame, batch: DataFrame, key: str, order: Column |
 
 def fill_blanks(target: DataFrame, values: DataFrame, key: str, column: str, value: str, order: Column, last: bool = False) -> DataFrame:
     """Target with blank cells of `column` filled from the first (or last) non-blank, stripped value of the row's key."""
-    v = values.where(F.col(key).isNotNull()).select(key, strip(F.col(value)).alias("_v"), order.alias("_o")).where(F.col("_v") != "")
-    v = one_per_key(v, [key], F.col("_o"), last).select(key, "_v")
+    v = values.where(F.col(key).isNotNull()).select(key, strip(F.col(value)).alias("_v"), order.alias("_when")).where(F.col("_v") != "")
+    v = one_per_key(v, [key], F.col("_when"), last).select(key, "_v")
     return target.join(v, key, "left").select(*[F.when(is_blank(F.col(column)), F.coalesce("_v", column)).otherwise(F.col(column)).alias(column) if c == column else F.col(c) for c in target.columns])
 
 

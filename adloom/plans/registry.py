@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adloom.operators.units import to_common_unit
 from adloom.operators.unpack import code_grammar, skill_grammar, unpack
+from adloom.plans import aggregates, catalog, changes, matches, texts  # noqa: F401
 from adloom.session import table
 
 
@@ -22,8 +23,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p6_found": p6_found}
+    return {"p3_found": p3_found, "p6_found": p6_found} | catalog.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(catalog.SQL)

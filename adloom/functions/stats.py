@@ -18,9 +18,9 @@ def g2(a: Column, b: Column, c: Column, d: Column) -> Column:
 
 
 def round_js(c: Column, digits: int = 1) -> Column:
-    """Halves go up, also below zero."""
+    """Halves go up, also below zero. What the order of a sum leaves beyond six further digits doesn't decide a half."""
     k = float(10**digits)
-    return F.floor(c * k + 0.5) / k
+    return F.floor(F.round(c * k, 6) + 0.5) / k
 
 
 def share(df: DataFrame, keys: list[str], n: str, out: str = "share") -> DataFrame:

@@ -191,7 +191,7 @@ def _groups(t):
     return x.withColumn("merge", F.col("n_regionkey") % 2 == 0)
 
 
-@query("agg27_polarization", "SELECT n_regionkey, CAST(floor(((hd - he) - (ld - le)) * 10 + 0.5) / 10 AS DECIMAL(18,1)) AS polarization FROM (SELECT n_regionkey, sum(CASE WHEN g BETWEEN 1 AND 3 THEN coalesce(d, 0) ELSE 0 END) AS hd, sum(CASE WHEN g BETWEEN 1 AND 3 AND NOT (n_regionkey % 2 = 0 AND g = 3) THEN coalesce(e, 0) ELSE 0 END) AS he, sum(CASE WHEN g BETWEEN 4 AND 9 THEN coalesce(d, 0) ELSE 0 END) AS ld, sum(CASE WHEN g BETWEEN 4 AND 9 THEN coalesce(e, 0) ELSE 0 END) AS le FROM (SELECT n_regionkey, CAST(c_custkey % 10 AS INTEGER) AS g, sum(c_acctbal) FILTER (WHERE c_custkey % 3 = 0) AS d, sum(c_acctbal) FILTER (WHERE c_custkey % 3 = 1) AS e FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1)")
+@query("agg27_polarization", "SELECT n_regionkey, CAST(floor(round(((hd - he) - (ld - le)) * 10, 6) + 0.5) / 10 AS DECIMAL(18,1)) AS polarization FROM (SELECT n_regionkey, sum(CASE WHEN g BETWEEN 1 AND 3 THEN coalesce(d, 0) ELSE 0 END) AS hd, sum(CASE WHEN g BETWEEN 1 AND 3 AND NOT (n_regionkey % 2 = 0 AND g = 3) THEN coalesce(e, 0) ELSE 0 END) AS he, sum(CASE WHEN g BETWEEN 4 AND 9 THEN coalesce(d, 0) ELSE 0 END) AS ld, sum(CASE WHEN g BETWEEN 4 AND 9 THEN coalesce(e, 0) ELSE 0 END) AS le FROM (SELECT n_regionkey, CAST(c_custkey % 10 AS INTEGER) AS g, sum(c_acctbal) FILTER (WHERE c_custkey % 3 = 0) AS d, sum(c_acctbal) FILTER (WHERE c_custkey % 3 = 1) AS e FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1)")
 def polarization(t):
     return stats.polarization(_groups(t), ["n_regionkey"], "g", "d", "e", "merge").withColumn("polarization", F.col("polarization").cast("decimal(18,1)"))
 

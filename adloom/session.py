@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and go on from the files: short lineage, safe if executors are lost."""
+    """Write df to the shared folder and go on from the files: short lineage, safe if executors are lost.
+
+    What was shuffled to make df isn't needed any more; collecting the driver's garbage lets Spark delete it now
+    rather than some time later, so a job of many steps doesn't hold the disk of all of them.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return done

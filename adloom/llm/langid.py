@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom.llm.sampling import hash_sample
+
 LANGUAGES = ("ja", "en", "zh", "ko", "vi", "pt", "id", "de")
 #: Labelled texts that the model is fitted on at most, and how much a switch between sentences costs (nats).
 SAMPLE, SWITCH = 6_000, 5.0
@@ -205,14 +207,14 @@ def title_language(title: str, employer: str | None, body: list[tuple[str, int,
     return lang, 1 / sum(math.exp(s - got[lang]) for s in got.values())
 
 
-def fit(df: DataFrame, columns: dict[str, str], languages: tuple[str, ...] = LANGUAGES, sample: int = SAMPLE) -> Model:
-    """The model of at most `sample` labelled texts of each column (label by text column), those of the least hash of the text, so
+def fit(df: DataFrame, id_col: str, columns: dict[str, str], languages: tuple[str, ...] = LANGUAGES, sample: int = SAMPLE) -> Model:
+    """The model of at most `sample` labelled texts of each column (label by text column), those of the least hash of the id, so
     that the same are taken wherever they lie. Wrong labels among them only blur the scores. Without a labelled row only scripts decide."""
     rows = []
     for text, label_col in columns.items():
         label = F.lower(F.trim(F.col(label_col)))
-        chosen = df.where(label.isin(*languages) & F.col(text).isNotNull()).select(F.xxhash64(text).alias("h"), label.alias("l"), F.col(text).alias("t"))
-        rows += [(r["l"], r["t"]) for r in chosen.orderBy("h", "l").limit(sample).collect()]
+        chosen = df.where(label.isin(*languages) & F.col(text).isNotNull())
+        rows += [(r["l"], r["t"]) for r in hash_sample(chosen, id_col, [label.alias("l"), F.col(text).alias("t")], sample)]
     return Model(rows, languages)
 
 

@@ -21,14 +21,14 @@ LABELS = {"responsibilities": "responsibilities_lang", "job_title": "job_title_l
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = table(spark, sf_dir, "jobads_jp")
-    judge = fit_judge(ads, "responsibilities", "description_english", "job_title_english", fit(ads, LABELS))
+    judge = fit_judge(ads, "id", "responsibilities", "description_english", "job_title_english", fit(ads, "id", LABELS))
     return broken_pairs(ads, "id", ("responsibilities", "description_english"), ("job_title", "job_title_english"), judge)
 
 
 def p2_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text and segment with its language and confidence."""
     ads = table(spark, sf_dir, "jobads_jp")
-    model = fit(ads, LABELS)
+    model = fit(ads, "id", LABELS)
     return language_labels(ads, "id", "responsibilities", "responsibilities_lang", "job_title", "job_title_lang", "employer", model)
 
 
@@ -48,7 +48,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = table(spark, sf_dir, "jobads_jp")
-    judge = fit_judge(ads, None, None, "job_title_english", fit(ads, LABELS))
+    judge = fit_judge(ads, "id", None, None, "job_title_english", fit(ads, "id", LABELS))
     fields = ("job_title_english", "esco_occupation_title_semantic")
     return canonical_codes(ads, "id", fields, table(spark, sf_dir, "esco_occupations"), "code", "title", "alt_titles", judge, ("job_title", "job_title_english"))
 

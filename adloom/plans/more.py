@@ -30,7 +30,7 @@ def threshold(t):
     return mentions(t).where(F.coalesce("score", F.lit(0.0)) >= 0.55).select("id", "uri")
 
 
-@query("joi07_apply_checkpoint", "WITH v AS (SELECT id AS k, max(title_value) AS x FROM (SELECT id, nullif(trim(job_title, ' '), '') AS title_value FROM jobads_jp) GROUP BY id) SELECT id, CASE WHEN job_title_english IS NULL OR trim(job_title_english, ' ') = '' THEN coalesce(x, job_title_english) ELSE job_title_english END AS job_title_english FROM jobads_jp LEFT JOIN v ON k = id WHERE job_title = trim(job_title, ' ')")
+@query("joi07_apply_checkpoint", "WITH v AS (SELECT id AS k, max(title_value) AS x FROM (SELECT id, nullif(regexp_replace(job_title, '^[\\s\\x{A0}\\x{3000}]+|[\\s\\x{A0}\\x{3000}]+$', '', 'g'), '') AS title_value FROM jobads_jp) GROUP BY id) SELECT id, CASE WHEN job_title_english IS NULL OR trim(job_title_english, ' ') = '' THEN coalesce(x, job_title_english) ELSE job_title_english END AS job_title_english FROM jobads_jp LEFT JOIN v ON k = id WHERE job_title = trim(job_title, ' ')")
 def apply_checkpoint(t):
     ads = t.jobads_jp.where("job_title = trim(job_title)")
     values = t.jobads_jp.select("id", F.trim("job_title").alias("value"))

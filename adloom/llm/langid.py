@@ -33,6 +33,9 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 #: Sentence and item ends: line breaks, full stops of unspaced scripts, stops before whitespace, a slash or bar between spaces.
 _END = re.compile(r"[\r\n  \x0b\x0c]+|(?<=[。！？｡])(?![」』）)”\"])|(?<=[.!?…])[\"”’»)]*\s+|\s+[/|｜／]\s+")
 
+#: What a company's name has.
+_COMPANY = re.compile(r"\b(?:Co\.?,? ?Ltd|Inc|Corp|LLC|GmbH|K\.K)\b|株式会社|合同会社|有限会社|有限公司|주식회사|㈱", re.I)
+
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Spans of sentences and list items."""
@@ -189,7 +192,9 @@ def title_language(title: str, employer: str | None, body: list[tuple[str, int,
     if employer and employer.strip():
         text = text.replace(unicodedata.normalize("NFKC", employer).strip(), " ")
     home = max(body, key=lambda s: s[2] - s[1])[0] if body else None
-    words = [w for w in _WORD.findall(text)]
+    if home and _COMPANY.search(title):
+        return home, 0.5
+    words = _WORD.findall(text)
     kana, han, hangul = len(_KANA.findall(text)), len(_HAN.findall(text)), len(_HANGUL.findall(text))
     if not words:
         return (home, 0.5) if home else None

@@ -1,15 +1,17 @@
 """Problem 9: filling containers of fixed capacity.
 
 Items above the capacity are divided into full containers and a rest. All other items of a block are
-taken in descending order and each goes to the sequence of lowest cost (linear plus quadratic in
-the lengths of its items, as attention is) that has room. The sequences a block opens
-are as few as this rule can fill; what fits none of them goes to the fullest container with room. Blocks are
-cut by the ids' hash, so all work is within blocks of bounded size.
-
+taken in descending order. Each goes to the sequence of lowest cost (linear plus quadratic in
+the lengths of its items, as attention is) that has room; where that rule alone would need more containers, only items of up to FINE
+tokens follow it, and larger ones go to the fullest sequence with room, of equally full ones to that of lowest cost. The
+number of sequences starts at the least possible and the rule is used for as many items as that number allows.
+Blocks are cut by the ids' hash, so all work is within blocks of bounded size.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import math
 
 import numpy as np
@@ -22,6 +24,8 @@ from adloom.session import cut
 
 #: Items of a block, and the cost of a sequence: LINEAR * tokens + sum of QUADRATIC * tokens ** 2 of its items.
 BLOCK, LINEAR, QUADRATIC = 40_000, 1.0, 1 / 1024
+#: Shares of the capacity up to which items follow the rule of lowest cost, tried in this order, and how many sequences above the least number.
+FINE, EXTRA = (1.0, 1 / 4, 1 / 8, 1 / 16, 1 / 32), (0, 1, 2, 4, 8, 16, 32)
 
 
 class _Tree:
@@ -33,11 +37,13 @@ class _Tree:
             self.base *= 2
         self.top = [math.inf] * (2 * self.base)
         self.heaps: dict[int, list] = {}
+        self.rooms = 0  # a bit for each room that some sequence has
 
     def _lift(self, room: int) -> None:
         h = self.heaps.get(room)
         i = self.base + room
         value = h[0][0] if h else math.inf
+        self.rooms = self.rooms | 1 << room if h else self.rooms & ~(1 << room)
         while i and self.top[i] != value:
             self.top[i] = value
             i //= 2
@@ -45,15 +51,11 @@ class _Tree:
                 value = min(self.top[2 * i], self.top[2 * i + 1])
 
     def put(self, cost: float, room: int, which: int) -> None:
-        import heapq
-
         heapq.heappush(self.heaps.setdefault(room, []), (cost, which))
         self._lift(room)
 
     def take(self, least: int) -> tuple[float, int, int] | None:
         """(cost, room, sequence), taken out."""
-        import heapq
-
         lo, hi, best, at = self.base + least, 2 * self.base - 1, math.inf, 0
         while lo <= hi:
             if lo & 1:
@@ -70,19 +72,26 @@ class _Tree:
             return None
         while at < self.base:
             at = 2 * at if self.top[2 * at] == best else 2 * at + 1
-        room = at - self.base
+        return self._pop(at - self.base)
+
+    def take_fullest(self, least: int) -> tuple[float, int, int] | None:
+        """The same of the least room, among equals of least cost."""
+        fit = self.rooms >> least
+        return self._pop(least + (fit & -fit).bit_length() - 1) if fit else None
+
+    def _pop(self, room: int) -> tuple[float, int, int]:
         cost, which = heapq.heappop(self.heaps[room])
         self._lift(room)
         return cost, room, which
 
 
-def _attempt(sizes: list[int], capacity: int, opened: int) -> tuple[list[int], list[int]]:
-    """Each item's sequence (-1: fits none) and the sequences' room; sizes are in descending order."""
+def _attempt(sizes: list[int], capacity: int, opened: int, fine: int) -> tuple[list[int], list[int]]:
+    """Each item's sequence (-1: fits none) and the sequences' room; sizes are in descending order, those of up to `fine` follow the rule of lowest cost."""
     tree, place, room_of = _Tree(capacity), [], [capacity] * opened
     for k in range(opened):
         tree.put(0.0, capacity, k)
     for s in sizes:
-        got = tree.take(s)
+        got = tree.take(s) if s <= fine else tree.take_fullest(s)
         if got is None:
             place.append(-1)
             continue
@@ -99,13 +108,21 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     order = np.argsort(-sizes, kind="stable")
     down = sizes[order].tolist()
-    opened = max(-(-sum(down) // capacity), sum(s * 2 > capacity for s in down))
-    place, room = _attempt(down, capacity, opened)
-    if -1 in place:
+    least, best = -(-sum(down) // capacity), None
+    for extra in EXTRA:
+        for fine in FINE:
+            place, room = _attempt(down, capacity, least + extra, int(capacity * fine))
+            lost = place.count(-1)
+            if best is None or (lost, extra) < best[:2]:
+                best = (lost, extra, place, room)
+            if not lost:
+                break
+        if not lost:
+            break
+    lost, extra, place, room = best
+    if lost:
         # those left over fill what room there is, fullest first, then new containers
-        import bisect
-
-        free = sorted((r, k) for k, r in enumerate(room))
+        opened, free = least + extra, sorted((r, k) for k, r in enumerate(room))
         for i, s in enumerate(down):
             if place[i] < 0:
                 at = bisect.bisect_left(free, (s, -1))
@@ -116,6 +133,9 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
                     r, k = free.pop(at)
                 place[i] = k
                 bisect.insort(free, (r - s, k))
+        # a sequence that got nothing doesn't count
+        used = {k: i for i, k in enumerate(sorted(set(place)))}
+        place = [used[k] for k in place]
     out = np.empty(len(sizes), np.int64)
     out[order] = place
     return out

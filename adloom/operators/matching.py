@@ -60,7 +60,7 @@ def longest_contained(terms: DataFrame, titles: DataFrame, term: str, title: str
 
 
 def fuzzy(terms: DataFrame, titles: DataFrame, term: str, title: str, code: str, cutoff: float = 82.0) -> DataFrame:
-    """terms with the code and score of the best title by token-set ratio, if at least cutoff. Titles that share no word
+    """terms with the code and score of the best title by token-set ratio (ties: most shared words, then the least code), if at least cutoff. Titles that share no word
     with a term aren't scored, as their ratio can't reach a cutoff above 50 unless by single letters."""
     entries = [(bare, r[1]) for r in _bounded(titles, [title, code]) if (bare := "".join(c for c in (r[0] or "").lower() if c.isascii() and (c.isalnum() or c == " ")).strip())]
     shared = terms.sparkSession.sparkContext.broadcast(entries)
@@ -76,8 +76,8 @@ def fuzzy(terms: DataFrame, titles: DataFrame, term: str, title: str, code: str,
         for v in values:
             words = set("".join(c for c in (v or "").lower() if c.isascii() and (c.isalnum() or c == " ")).split())
             near = {i for w in words for i in by_word.get(w, ())}
-            got = max(((token_set_ratio(words, set(sets[i][0])), sets[i][1]) for i in near), key=lambda x: (x[0], x[1]), default=(0.0, None))
-            out.append((got[1], got[0]) if got[0] >= cutoff and len(" ".join(words)) > 2 else (None, None))
+            got = min(((-token_set_ratio(words, set(sets[i][0])), -len(words & sets[i][0]), sets[i][1]) for i in near), default=(0.0, 0, None))
+            out.append((got[2], -got[0]) if -got[0] >= cutoff and len(" ".join(words)) > 2 else (None, None))
         return pd.DataFrame(out, columns=["code", "score"])
 
     return terms.withColumn("_f", best(F.col(term))).select(*terms.columns, F.col("_f.code").alias(code), F.col("_f.score").alias("score"))

@@ -49,8 +49,8 @@ def test_g2_is_not_negative_and_symmetric(spark):
 
 def test_keyness(spark):
     rows = [("A", "x")] * 8 + [("A", "y")] * 4 + [("B", "x")] * 4 + [("B", "y")] * 20
-    got = keyness(spark.createDataFrame(rows, "g string, c string"), "g", "c").collect()
-    assert {(r.g, r.c, r.a) for r in got} == {("A", "x", 8), ("B", "y", 20)}
+    got = keyness(spark.createDataFrame(rows, "g string, d string"), "g", "d").collect()
+    assert {(r.g, r.d, r.a) for r in got} == {("A", "x", 8), ("B", "y", 20)}
 
 
 def test_text(spark):

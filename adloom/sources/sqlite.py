@@ -38,6 +38,8 @@ class SqliteReader(DataSourceReader):
         return [_Part(k, min(k + step, high + 1)) for k in range(low, high + 1, step)]
 
     def read(self, partition):
+        if partition is None:  # an empty table
+            return
         make = [{"bigint": int, "double": float}.get(k, str) for k in self.kinds]
         with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as c:
             cols = ", ".join(f'"{n}"' for n in self.names)

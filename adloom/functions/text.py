@@ -28,6 +28,13 @@ def filled(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def day(c: Column) -> Column:
+    """The day of a date or timestamp as text, years first with dashes or slashes or days first with dots; NULL if it can't be read."""
+    x = F.regexp_replace(strip(c), r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
+    x = F.regexp_replace(x, r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1")
+    return x.try_cast("timestamp_ntz").cast("date")
+
+
 def collapse(c: Column) -> Column:
     """Runs of whitespace as one space, none at the ends; NULL as ''."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE, " "))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from adloom.functions import stats
-from adloom.functions.text import knowledge_branch, label_key, skill_branch
+from adloom.functions.text import day, knowledge_branch, label_key, skill_branch
 from adloom.operators.keyness import keyness
 from adloom.operators.upsert import top_per_group
 from adloom.plans.catalog import query
@@ -111,8 +111,7 @@ def months(t):
 
 @query("agg12_months_posted", "SELECT strftime(d, '%Y-%m') AS month, count(*) AS n FROM (SELECT try_cast(date_posted AS DATE) AS d FROM jobads_jp WHERE regexp_full_match(date_posted, '[0-9]{4}-[0-9]{2}-[0-9]{2}')) WHERE d IS NOT NULL GROUP BY 1")
 def months_posted(t):
-    d = F.when(F.col("date_posted").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("date_posted").try_cast("date"))
-    return t.jobads_jp.select(d.alias("d")).where("d is not null").groupBy(F.date_format("d", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
+    return t.jobads_jp.select(day(F.col("date_posted")).alias("d")).where("d is not null").groupBy(F.date_format("d", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
 
 
 @query("agg12_months_wide", f"WITH x AS (SELECT strftime(collected_at, '%Y-%m') AS month, {SRC} AS s FROM jobads_jp WHERE collected_at IS NOT NULL) SELECT month, count(*) FILTER (WHERE s = 'careerjet') AS careerjet, count(*) FILTER (WHERE s = 'indeed') AS indeed, count(*) AS total FROM x GROUP BY month")

@@ -75,7 +75,7 @@ def ellipsis(t):
 
 @query("dat01_dates", "SELECT id, strftime(try_cast(CASE WHEN regexp_full_match(date_posted, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN date_posted END AS DATE), '%Y-%m-%d') AS day FROM jobads_jp")
 def dates(t):
-    return t.jobads_jp.select("id", F.date_format(F.when(F.col("date_posted").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.col("date_posted").try_cast("date")), "yyyy-MM-dd").alias("day"))
+    return t.jobads_jp.select("id", F.date_format(T.day(F.col("date_posted")), "yyyy-MM-dd").alias("day"))
 
 
 @query("arr01_explode", "SELECT id, m.uri AS uri, m.label AS label FROM (SELECT id, unnest(skills) AS m FROM jp_mentions)")

@@ -159,7 +159,7 @@ def column_search(t):
 
 @query("arr03_regroup", "SELECT id, array_to_string(list(m.label ORDER BY p), '|') AS labels FROM (SELECT id, unnest(s) AS m, unnest(range(len(s))) AS p FROM (SELECT id, arg_max(skills, (len(skills), md5(skills::VARCHAR))) AS s FROM jp_mentions GROUP BY id)) GROUP BY id".replace("arg_max(skills, (len(skills), md5(skills::VARCHAR)))", "any_value(skills)").replace("GROUP BY id)) GROUP BY id", "GROUP BY id HAVING count(*) = 1)) GROUP BY id"))
 def regroup(t):
-    once = t.jp_mentions.groupBy("id").agg(F.count("*").alias("k"), F.any_value("skills").alias("skills")).where("k = 1")
+    once = t.jp_mentions.groupBy("id").agg(F.flatten(F.array_sort(F.collect_set("skills"))).alias("skills"))  # a repeated row counts once
     flat = once.select("id", F.posexplode("skills").alias("pos", "m"))
     return flat.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col("m.label").alias("label")))), lambda x: x["label"]), "|").alias("labels"))
 

@@ -24,3 +24,9 @@ def test_months_posted_counts_every_readable_day(spark, tmp_path):
     values = ["2025-10-13", "2025-10-13T21:10:52", "2025/10/14", "13.10.2025", "30+ days ago", None]
     got = run(spark, tmp_path, "agg12_months_posted", jobads_jp=([(i, v) for i, v in enumerate(values)], "id long, date_posted string"))
     assert [tuple(r) for r in got.collect()] == [("2025-10", 4)]
+
+
+def test_regroup_keeps_repeated_ids(spark, tmp_path):
+    a, b = [("u", "x", 0.5), ("v", "y", 0.5)], [("w", "z", None)]
+    got = run(spark, tmp_path, "arr03_regroup", jp_mentions=([(1, a), (1, a), (2, b)], "id long, skills array<struct<uri:string,label:string,score:double>>"))
+    assert {tuple(r) for r in got.collect()} == {(1, "x|y"), (2, "z")}

@@ -32,9 +32,8 @@ def threshold(t):
 
 @query("joi07_apply_checkpoint", "WITH v AS (SELECT id AS k, max(title_value) AS x FROM (SELECT id, nullif(regexp_replace(job_title, '^[\\s\\x{A0}\\x{3000}]+|[\\s\\x{A0}\\x{3000}]+$', '', 'g'), '') AS title_value FROM jobads_jp) GROUP BY id) SELECT id, CASE WHEN job_title_english IS NULL OR trim(job_title_english, ' ') = '' THEN coalesce(x, job_title_english) ELSE job_title_english END AS job_title_english FROM jobads_jp LEFT JOIN v ON k = id WHERE job_title = trim(job_title, ' ')")
 def apply_checkpoint(t):
-    ads = t.jobads_jp.where("job_title = trim(job_title)")
-    values = t.jobads_jp.select("id", F.trim("job_title").alias("value"))
-    return fill_blanks(ads.select("id", "job_title_english"), values, "id", "job_title_english", "value", F.col("value"), last=True)
+    values = t.jobads_jp.select("id", T.strip(F.col("job_title")).alias("value"))
+    return fill_blanks(t.jobads_jp.select("id", "job_title_english"), values, "id", "job_title_english", "value", F.col("value"), last=True)
 
 
 @query("joi09_batch_results", "SELECT id, CASE WHEN job_title_english IS NULL OR trim(job_title_english, ' ') = '' THEN 'title ' || id ELSE job_title_english END AS job_title_english FROM jobads_jp")

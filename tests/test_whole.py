@@ -30,3 +30,9 @@ def test_regroup_keeps_repeated_ids(spark, tmp_path):
     a, b = [("u", "x", 0.5), ("v", "y", 0.5)], [("w", "z", None)]
     got = run(spark, tmp_path, "arr03_regroup", jp_mentions=([(1, a), (1, a), (2, b)], "id long, skills array<struct<uri:string,label:string,score:double>>"))
     assert {tuple(r) for r in got.collect()} == {(1, "x|y"), (2, "z")}
+
+
+def test_checkpoint_returns_every_row(spark, tmp_path):
+    rows = [(1, "a", None), (2, " b　", " "), (3, None, None), (4, "\tc", "kept"), (5, "\xa0", "")]
+    got = run(spark, tmp_path, "joi07_apply_checkpoint", jobads_jp=(rows, "id long, job_title string, job_title_english string"))
+    assert {r.id: r.job_title_english for r in got.collect()} == {1: "a", 2: "b", 3: None, 4: "kept", 5: ""}

@@ -59,15 +59,25 @@ def longest_contained(terms: DataFrame, titles: DataFrame, term: str, title: str
     return terms.withColumn("_f", find(F.col(term))).select(*terms.columns, F.col("_f.code").alias(code), F.col("_f.title").alias("found"))
 
 
+def _characters(texts: list[str]) -> np.ndarray:
+    """(texts, 128) counts of ASCII characters."""
+    out = np.zeros((len(texts), 128), np.int32)
+    for i, t in enumerate(texts):
+        np.add.at(out[i], np.frombuffer(t.encode("ascii"), np.uint8), 1)
+    return out
+
+
 def fuzzy(terms: DataFrame, titles: DataFrame, term: str, title: str, code: str, cutoff: float = 82.0) -> DataFrame:
-    """terms with the code and score of the best title by token-set ratio (ties: most shared words, then the least code), if at least cutoff. Titles that share no word
-    with a term aren't scored, as their ratio can't reach a cutoff above 50 unless by single letters."""
+    """terms with the code and score of the best title by token-set ratio (ties: most shared words, then the least code), if at least cutoff. Of titles that share no word
+    with a term those are scored whose length and counts of characters let the ratio reach the cutoff."""
     entries = [(bare, r[1]) for r in _bounded(titles, [title, code]) if (bare := "".join(c for c in (r[0] or "").lower() if c.isascii() and (c.isalnum() or c == " ")).strip())]
     shared = terms.sparkSession.sparkContext.broadcast(entries)
 
     @F.pandas_udf("struct<code:string,score:double>")
     def best(values: pd.Series) -> pd.DataFrame:
         sets = [(frozenset(t.split()), c) for t, c in shared.value]
+        counts = _characters([" ".join(sorted(s)) for s, _ in sets])
+        lengths = counts.sum(1)
         by_word: dict = {}
         for i, (s, _) in enumerate(sets):
             for w in s:
@@ -76,6 +86,9 @@ def fuzzy(terms: DataFrame, titles: DataFrame, term: str, title: str, code: str,
         for v in values:
             words = set("".join(c for c in (v or "").lower() if c.isascii() and (c.isalnum() or c == " ")).split())
             near = {i for w in words for i in by_word.get(w, ())}
+            # without a shared word the ratio is that of the texts, and no more characters match than both have
+            own = _characters([" ".join(sorted(words))])[0]
+            near.update(np.flatnonzero(200.0 * np.minimum(counts, own).sum(1) >= cutoff * (lengths + own.sum())).tolist())
             got = min(((-token_set_ratio(words, set(sets[i][0])), -len(words & sets[i][0]), sets[i][1]) for i in near), default=(0.0, 0, None))
             out.append((got[2], -got[0]) if -got[0] >= cutoff and len(" ".join(words)) > 2 else (None, None))
         return pd.DataFrame(out, columns=["code", "score"])

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from adloom.functions import text
+from adloom.operators import matching
 
 
 def test_days(spark):
@@ -36,3 +37,15 @@ def test_checkpoint_returns_every_row(spark, tmp_path):
     rows = [(1, "a", None), (2, " b　", " "), (3, None, None), (4, "\tc", "kept"), (5, "\xa0", "")]
     got = run(spark, tmp_path, "joi07_apply_checkpoint", jobads_jp=(rows, "id long, job_title string, job_title_english string"))
     assert {r.id: r.job_title_english for r in got.collect()} == {1: "a", 2: "b", 3: None, 4: "kept", 5: ""}
+
+
+def test_fuzzy_scores_titles_without_a_shared_word(spark):
+    titles = ["negotiation", "team work", "data clerk", "clerk", "nursing care", "care"]
+    words = ["negotiations", "teamwork", "clerks of data", "nursin car", "data clerks", "zzz", "ab"]
+    table = spark.createDataFrame([(t, str(i)) for i, t in enumerate(titles)], "title string, code string")
+    got = {r.term: (r.code, r.score) for r in matching.fuzzy(spark.createDataFrame([(w,) for w in words], "term string"), table, "term", "title", "code").collect()}
+    assert got["negotiations"][0] == "0" and got["teamwork"][0] == "1"
+    for w in words:
+        x = set(w.split())
+        best = min((-text.token_set_ratio(x, set(t.split())), -len(x & set(t.split())), str(i)) for i, t in enumerate(titles))
+        assert got[w] == ((best[2], -best[0]) if -best[0] >= 82 and len(w) > 2 else (None, None))

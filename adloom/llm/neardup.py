@@ -6,12 +6,16 @@ filed under its prefix; prefixes are as short as the target recall at the thresh
 parts of the trie are split and thin parts keep their recall. Candidates of a
 bucket are screened with 128 bits of further minima and then verified exactly on
 the texts. Nothing is capped: a bucket still crowded at one depth is linked to its first text
-and filed again at the next depth, the last being the entire signature.
+and filed again at the next depth, the last being the entire signature. As longer prefixes
+meet fewer pairs, that alone would lower the recall. So afterwards the crowded buckets of the shortest depth are gone
+through whole, in blocks: every two members that aren't yet in one group are screened and verified, and the recall
+is that of the shortest depth however crowded a bucket is.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -27,6 +31,8 @@ VALUES = TREES * STEP
 #: Prefix lengths, from the shortest. 20 tries of depth 4: a pair at 0.6 is met with 0.93, at 0.65 with 0.98, at 0.7 with 0.996.
 ADAPTIVE = (4, 6, 9, 14, 24, 48, VALUES)
 BUCKET = 64
+#: Texts of a crowded bucket that are screened against as many others at once.
+BLOCK = 1024
 #: Least share of equal bits of a candidate: a pair at 0.6 expects 0.8 with a deviation of 0.035.
 SCREEN = 0.69
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -147,7 +153,7 @@ def _filed(signed: DataFrame, depth: int) -> DataFrame:
 
 
 def _bucketed(filed: DataFrame, screen: float) -> tuple[DataFrame, DataFrame | None]:
-    """Candidates (a, b) of one depth, and the ids in buckets that were too large for all pairs, or None.
+    """Candidates (a, b) of one depth, and the rows (key, n, id, b0, b1) of buckets that were too large for all pairs, or None.
 
     A bucket of at most BUCKET meets all its pairs; the texts of a larger one meet its first text
     only, and go on to the next depth. Counting is combined before the shuffle, and the join on the counts
@@ -171,7 +177,40 @@ def _bucketed(filed: DataFrame, screen: float) -> tuple[DataFrame, DataFrame | N
     crowded = filed.join(large.hint("merge"), "key")
     first = crowded.groupBy("key").agg(F.min(F.struct("id", "b0", "b1")).alias("first"))
     stars = crowded.join(first, "key").where("id <> first.id").select(F.col("first.id").alias("a"), F.col("id").alias("b"), *(F.col(f"first.b{i}").alias(f"x{i}") for i in (0, 1)), *(F.col(f"b{i}").alias(f"y{i}") for i in (0, 1)))
-    return found.unionAll(stars.where(agree).select("a", "b")).distinct(), crowded.select("id").distinct()
+    return found.unionAll(stars.where(agree).select("a", "b")).distinct(), crowded
+
+
+def _across(crowded: DataFrame, groups: DataFrame, screen: float) -> DataFrame:
+    """Candidates (a, b): all pairs of a crowded bucket that aren't in one group, screened.
+
+    A bucket's members are dealt into blocks by a hash, and each two blocks are a group of their own, so no task gets a
+    whole bucket. Buckets that lie in one group are left out before.
+    """
+    least = BITS - int((1 - screen) * BITS)
+    g = groups.select("id", "component").hint("merge")
+    x = cut(crowded.join(g, "id", "left").select("key", "n", "id", F.coalesce("component", "id").alias("component"), "b0", "b1"))
+    open_ = x.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    k = F.ceil(F.col("n") / BLOCK).cast("int")
+    x = x.join(open_.hint("merge"), "key").withColumn("own", F.pmod(F.xxhash64("id"), k).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), k - 1)))
+    x = x.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component", "b0", "b1")
+
+    def screened(t):
+        t = t.sort_values("id")
+        own, ids, component = (t[c].to_numpy() for c in ("own", "id", "component"))
+        words = t[["b0", "b1"]].to_numpy()
+        i, j = t["i"].iloc[0], t["j"].iloc[0]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        out = []
+        for r in left:
+            to = right[right > r] if i == j else right
+            to = to[component[to] != component[r]]
+            to = to[BITS - np.bitwise_count(words[to] ^ words[r]).sum(1, dtype=np.int64) >= least]
+            if len(to):
+                out.append(np.stack([np.minimum(ids[r], ids[to]), np.maximum(ids[r], ids[to])], 1))
+        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
+
+    return x.groupBy("key", "i", "j").applyInPandas(screened, "a long, b long").distinct()
 
 
 def similar_groups(df: DataFrame, id_col: str, text_col: str, width: int = 5, threshold: float = 0.6, screen: float = SCREEN) -> tuple[DataFrame, DataFrame]:
@@ -185,18 +224,19 @@ def similar_groups(df: DataFrame, id_col: str, text_col: str, width: int = 5, th
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     folded = cut(_signed(docs, width).groupBy("text_hash").agg(F.min(F.struct("id", "sig", "b0", "b1")).alias("r"), F.count("*").alias("copies")))
     exact = _hashed(docs).join(folded.where("copies > 1").select("text_hash", F.col("r.id").alias("a")), "text_hash").where("a <> id").select("a", F.col("id").alias("b"))
-    signed, pairs = folded.select("r.*"), None
+    signed, pairs, crowded = folded.select("r.*"), None, None
     for depth in ADAPTIVE:
         found, again = _bucketed(_filed(signed, depth), screen)
         pairs = found if pairs is None else pairs.unionAll(found)
         if again is None:
             break
         pairs = cut(pairs)
-        signed = cut(signed.join(again.hint("merge"), "id", "left_semi"))
+        if crowded is None:
+            crowded = again = cut(again)
+        signed = cut(signed.join(again.select("id").distinct().hint("merge"), "id", "left_semi"))
     pairs = cut(pairs.distinct().select("a", "b", F.lit(False).alias("sure")).unionAll(exact.select("a", "b", F.lit(True).alias("sure"))))
     ends = pairs.select(F.col("a").alias(id_col)).unionAll(pairs.select(F.col("b").alias(id_col))).distinct()
     members = cut(df.join(ends.hint("merge"), id_col, "left_semi"))
-    texts = members.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def verify(batches):
         for b in batches:
@@ -204,14 +244,26 @@ def similar_groups(df: DataFrame, id_col: str, text_col: str, width: int = 5, th
             ok = [similarity(bare(p), bare(q), width) >= threshold for p, q in zip(x, y)]
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    # plain inner joins, so AQE splits a text that is in very many pairs
-    checked = (
-        pairs.where("not sure").join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
-        .join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
-    )
-    groups = components(checked.unionAll(pairs.where("sure").select("a", "b"))).select(F.col("node").alias("id"), "component")
-    return groups, members
+    def checked(pairs, rows):
+        # plain inner joins, so AQE splits a text that is in very many pairs
+        texts = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+        return (
+            pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
+            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
+            .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+        )
+
+    groups = components(checked(pairs.where("not sure"), members).unionAll(pairs.where("sure").select("a", "b"))).select(F.col("node").alias("id"), "component")
+    if crowded is None:
+        return groups, members
+    groups = cut(groups)
+    more = cut(_across(crowded, groups, screen))
+    if more.isEmpty():
+        return groups, members
+    new = more.select(F.col("a").alias(id_col)).unionAll(more.select(F.col("b").alias(id_col))).distinct().join(ends.hint("merge"), id_col, "left_anti")
+    members = members.unionAll(cut(df.join(new.hint("merge"), id_col, "left_semi")))
+    groups = components(checked(more, members).unionAll(groups.select(F.col("component").alias("a"), F.col("id").alias("b"))))
+    return groups.select(F.col("node").alias("id"), "component"), members
 
 
 def version_groups(df: DataFrame, id_col: str, text_col: str, swap: tuple[str, ...], needed: tuple[str, ...]) -> DataFrame:

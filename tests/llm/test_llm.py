@@ -261,3 +261,24 @@ def test_pairs(spark, model):
     assert pairs.broken_pairs(df.limit(0), "id", ("q", "a"), ("tq", "ta"), j).count() == 0
 
 
+
+
+def test_crowded_bucket_keeps_the_recall(spark, monkeypatch):
+    from adloom.llm import neardup
+
+    random.seed(3)
+    # pairs of versions at 0.65, all of one boilerplate; what no bucket crowds out is what has to be found where all do
+    base = "".join(random.choice("abcdefghij") for _ in range(900))
+    rows = []
+    for g in range(40):
+        own = "".join(random.choice("klmnopqrst") for _ in range(700))
+        rows += [(2 * g + 1, base + own), (2 * g + 2, base + own[:360] + "".join(random.choice("uvwxyz") for _ in range(340)))]
+    df = spark.createDataFrame(rows, "id long, r string")
+    monkeypatch.setattr(neardup, "BUCKET", 1000)
+    want = {r.id: r.component for r in similar_groups(df, "id", "r")[0].collect()}
+    assert sum(want.get(2 * g + 1) == want.get(2 * g + 2) == 2 * g + 1 for g in range(40)) >= 36
+    monkeypatch.setattr(neardup, "BUCKET", 2)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    groups, members = similar_groups(df, "id", "r")
+    assert {r.id: r.component for r in groups.collect()} == want
+    assert set(want) <= {r.id for r in members.select("id").collect()}

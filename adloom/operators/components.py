@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.session import cut
+from adloom.session import cut, free
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 4
             .where("p <> q")
             .distinct()
         )
-        e = cut(small)
+        done, e = e, cut(small)
+        free(done)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("p", "q").cast("decimal(38,0)"))).first())
         if now == last:
             break

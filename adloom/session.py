@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cpus: int = 8, partitions: int = 8) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -43,13 +45,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and go on from the files: short lineage, safe if executors are lost.
+    """Write df as a table in the shared folder and go on from its files: short lineage, safe if executors are lost.
 
-    What was shuffled to make df isn't needed any more; collecting the driver's garbage lets Spark delete it now
-    rather than some time later, so a job of many steps doesn't hold the disk of all of them.
+    The shuffles that made df are removed as soon as it is written, so a job of many steps holds the disk of one. The table is removed by
+    free(), and what is left when the driver ends.
     """
-    checkpoint_dir(df.sparkSession)
-    done = df.checkpoint(eager=True)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    place, system = _place(spark, path)
+    system.deleteOnExit(place)
+    done = spark.read.schema(df.schema).parquet(path)
+    done._written_to = path
     return done
+
+
+def free(*tables: DataFrame | None) -> None:
+    """Remove tables that cut() wrote and nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "_written_to", None)
+        if path:
+            place, system = _place(t.sparkSession, path)
+            system.delete(place, True)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

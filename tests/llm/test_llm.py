@@ -261,24 +261,70 @@ def test_pairs(spark, model):
     assert pairs.broken_pairs(df.limit(0), "id", ("q", "a"), ("tq", "ta"), j).count() == 0
 
 
+def recall_of_pairs(spark, boilerplate, similar, groups, seed):
+    """Planted pairs of about one similarity whose texts all hold one boilerplate: the share of links found, by brute force over the pairs."""
+    from adloom.llm import neardup
+
+    rng = random.Random(seed)
+
+    def some(n, letters):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    total = 1200
+    base = some(int(total * boilerplate), "abcdefghij")
+    rows, links = [], []
+    for g in range(groups):
+        own = some(total - len(base), "klmnopqrst")
+        edit = round(total * (1 - similar) / (1 + similar))
+        at = rng.randrange(len(own) - edit + 1)
+        pair = (base + own, base + own[:at] + some(edit, "uvwxyz") + own[at + edit :])
+        if similarity(*pair, 5) >= 0.6:
+            links.append((2 * g, 2 * g + 1))
+        rows += [(2 * g, pair[0]), (2 * g + 1, pair[1])]
+    cross = similarity(rows[0][1], rows[2][1], 5)
+    assert cross < 0.6
+    found = {r.id: r.component for r in neardup.similar_groups(spark.createDataFrame(rows, "id long, r string"), "id", "r")[0].collect()}
+    assert all(c in (i, i - 1) for i, c in found.items())
+    got = sum(found.get(a) is not None and found.get(a) == found.get(b) for a, b in links) / len(links)
+    print(f"recall of {len(links)} pairs near {similar}, {cross:.2f} to all others: {got:.3f}")
+    return got
+
+
+@pytest.mark.parametrize("boilerplate,similar,groups", [(0.0, 0.65, 150), (0.715, 0.63, 300)])
+def test_recall_near_the_threshold(spark, boilerplate, similar, groups):
+    assert recall_of_pairs(spark, boilerplate, similar, groups, 3) >= 0.9
+
+
+def test_prefixes_are_shortened_to_the_target():
+    from adloom.llm import neardup
 
+    for threshold in (0.5, 0.6, 0.8, 0.95):
+        n = neardup.prefix_length(threshold)
+        assert neardup.recall_at(threshold, n) >= neardup.TARGET > neardup.recall_at(threshold, n + 1) or n == 64
+    assert neardup.prefix_length(0.6) == 4
 
-def test_crowded_bucket_keeps_the_recall(spark, monkeypatch):
+
+def test_blocks_don_t_change_the_result(spark, monkeypatch):
     from adloom.llm import neardup
 
     random.seed(3)
-    # pairs of versions at 0.65, all of one boilerplate; what no bucket crowds out is what has to be found where all do
     base = "".join(random.choice("abcdefghij") for _ in range(900))
     rows = []
     for g in range(40):
         own = "".join(random.choice("klmnopqrst") for _ in range(700))
         rows += [(2 * g + 1, base + own), (2 * g + 2, base + own[:360] + "".join(random.choice("uvwxyz") for _ in range(340)))]
     df = spark.createDataFrame(rows, "id long, r string")
-    monkeypatch.setattr(neardup, "BUCKET", 1000)
     want = {r.id: r.component for r in similar_groups(df, "id", "r")[0].collect()}
     assert sum(want.get(2 * g + 1) == want.get(2 * g + 2) == 2 * g + 1 for g in range(40)) >= 36
-    monkeypatch.setattr(neardup, "BUCKET", 2)
-    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    monkeypatch.setattr(neardup, "PAIRS", 7)
     groups, members = similar_groups(df, "id", "r")
     assert {r.id: r.component for r in groups.collect()} == want
     assert set(want) <= {r.id for r in members.select("id").collect()}
+
+
+def test_repeated_ids_of_versions(spark):
+    random.seed(8)
+    a, b, c = ("".join(random.choice("abcdefghij") for _ in range(300)) for _ in range(3))
+    df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b + "x"), (4, c), (4, c), (None, a)], "id long, r string")
+    assert {tuple(r) for r in similar_groups(df, "id", "r")[0].collect()} == {(1, 1), (2, 1), (3, 1)}

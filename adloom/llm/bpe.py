@@ -5,9 +5,10 @@ is unique: of the tokens that end the prefix, it is the one that may follow the
 is left before it, where two tokens may stand together if encoding their bytes gives
 just these two. Appending a byte adds one entry and changes none; an edit leaves every entry before it.
 
-Pieces (the pattern's matches) are found on arrays of code points, told apart by
-length and two 64-bit hashes, and each different piece is encoded once while it stays in a bounded
-memory. Pieces that are new in a batch go through the table together, position by position.
+Pieces (the pattern's matches) are found on arrays of code points and each different piece is encoded once while it stays in a bounded
+memory: it is looked up by a 64-bit hash and then compared, code point by code point. Pieces that are new in a batch go
+through the table together, position by position. A long piece goes through it in windows, together too: as an entry depends on no more than
+the entries of one token's length before it, a window that agrees with the one before over that length goes on as the whole piece would; one that doesn't is made again.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MOST_FILE = 64 << 20
 #: Different pieces, and their ids, that a worker remembers before it starts anew; code points worked on at once.
 REMEMBER, REMEMBER_IDS, BATCH = 600_000, 12_000_000, 1_500_000
-#: Pieces of more bytes than this are encoded one by one.
-LONG = 1500
+#: Pieces of more bytes than this are encoded in windows; bytes of windows worked on at once.
+LONG, WINDOWS = 1500, 400_000
 _NONE = np.int64(1) << 40
 
 
@@ -72,6 +73,7 @@ class Vocabulary:
         self.pair_keys, self.pair_ids = np.array(keys, np.int64)[order], np.array(ids, np.int64)[order]
         self._seen = np.full(1 << 20, -1, np.int64)
         self._ok = np.zeros(1 << 20, bool)
+        self._pairs: dict[int, bool] = {}
 
     def _last_merge(self, b: bytes, i: int) -> tuple[int, int]:
         parts = [b[k : k + 1] for k in range(len(b))]
@@ -118,13 +120,11 @@ class Vocabulary:
             self._seen[slot[miss]], self._ok[slot[miss]] = key[miss], ok[back]
         return out
 
-    def encode_many(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces that lie one after another in data (bytes), flat, and each piece's number of ids."""
+    def _endings(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(token, start, end, end within its piece) of every token that lies inside a piece, in the order of the last."""
         starts = np.cumsum(lens) - lens
         total = int(lens.sum())
-        begin = np.repeat(starts, lens)
-        room = np.repeat(starts + lens, lens)
-        # every token that ends at a place, found from its start along the trie
+        begin, room = np.repeat(starts, lens), np.repeat(starts + lens, lens)
         node, at = np.zeros(total, np.int64), np.arange(total)
         token, where, end = [], [], []
         for d in range(self.longest):
@@ -143,10 +143,15 @@ class Vocabulary:
         token, where, end = map(np.concatenate, (token, where, end))
         step = end - begin[where]
         order = np.argsort(step, kind="stable")
-        token, where, end, step = token[order], where[order], end[order], step[order]
+        return token[order], where[order], end[order], step[order]
+
+    def table(self, data: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Of pieces that lie one after another in data (bytes): for each byte the last token of the prefix that ends with it."""
+        token, where, end, step = self._endings(data, lens)
+        starts = np.cumsum(lens) - lens
         bounds = np.searchsorted(step, np.arange(1, int(lens.max(initial=0)) + 2))
-        first = where == begin[where]
-        last = np.full(total, -1, np.int64)  # of the prefix that ends with this byte
+        first = where == np.repeat(starts, lens)[where]
+        last = np.full(int(lens.sum()), -1, np.int64)
         for k in range(len(bounds) - 1):
             lo, hi = bounds[k], bounds[k + 1]
             t, w, f = token[lo:hi], where[lo:hi], first[lo:hi]
@@ -155,6 +160,11 @@ class Vocabulary:
             if len(rest):
                 good[rest] = self.together(last[w[rest] - 1], t[rest])
             last[end[lo:hi][good] - 1] = t[good]
+        return last
+
+    def encode_many(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that lie one after another in data (bytes), flat, and each piece's number of ids."""
+        last, starts = self.table(data, lens), np.cumsum(lens) - lens
         # back from the ends
         counts = np.zeros(len(lens), np.int64)
         live, place = np.nonzero(lens)[0], (starts + lens)[lens > 0]
@@ -175,6 +185,57 @@ class Vocabulary:
         flat[np.cumsum(counts)[owners] - 1 - rank] = ids
         return flat, counts
 
+    def encode_long(self, data: np.ndarray) -> np.ndarray:
+        """Ids of one long piece: windows with an overlap go through the table together and are joined where they agree."""
+        n, reach = len(data), self.longest
+        size, over = 2 * reach, 2 * reach
+        last = np.empty(n, np.int64)
+        done = 0
+        for first in range(0, n, WINDOWS // 2):
+            begins = np.arange(first, min(n, first + WINDOWS // 2), size)
+            lows, highs = np.maximum(begins - over, 0), np.minimum(begins + size, min(n, first + WINDOWS // 2))
+            lens = highs - lows
+            where = np.repeat(lows - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
+            tables, at = self.table(data[where], lens), np.cumsum(lens) - lens
+            for begin, low, high, k in zip(begins.tolist(), lows.tolist(), highs.tolist(), at.tolist()):
+                own = tables[k : k + high - low]
+                if low == 0 or np.array_equal(last[begin - reach : begin], own[begin - low - reach : begin - low]):
+                    last[done:high] = own[done - low :]
+                else:
+                    self._go_on(data, last, begin, high, own[begin - low :])
+                done = high
+        out, lengths, back, place = [], self.length.tolist(), last.tolist(), n
+        while place:
+            out.append(back[place - 1])
+            place -= lengths[out[-1]]
+        return np.array(out[::-1], np.int64)
+
+    def _go_on(self, data: np.ndarray, last: np.ndarray, begin: int, end: int, guess: np.ndarray) -> None:
+        """Entries begin to end after those before; from where they have agreed with the guess for a token's length, the guess stands."""
+        low = max(0, begin - self.longest)
+        token, where, ends, _ = self._endings(data[low:end], np.array([end - low]))
+        keep = ends + low > begin
+        token, where, ends = token[keep].tolist(), (where[keep] + low).tolist(), (ends[keep] + low).tolist()
+        agreed, done = 0, begin
+        for t, w, e in zip(token, where, ends):
+            if e <= done:
+                continue
+            if w == 0 or self._fit(int(last[w - 1]), t):
+                last[e - 1], done = t, e
+                agreed = agreed + 1 if guess[e - 1 - begin] == t else 0
+                if agreed >= self.longest:
+                    last[e:end] = guess[e - begin :]
+                    return
+
+    def _fit(self, a: int, b: int) -> bool:
+        key = a * self.size + b
+        got = self._pairs.get(key)
+        if got is None:
+            if len(self._pairs) > 1_000_000:
+                self._pairs.clear()
+            got = self._pairs[key] = bool(self.together(np.array([a]), np.array([b]))[0])
+        return got
+
 
 size_max = 1 << 60
 
@@ -268,7 +329,11 @@ class Encoder:
         self.flat = np.zeros(1 << 16, np.int32)
         self.begin: np.ndarray = np.zeros(1 << 12, np.int64)
         self.count: np.ndarray = np.zeros(1 << 12, np.int64)
-        self.n = self.used = 0
+        # the pieces' own code points, to compare with
+        self.written: np.ndarray = np.zeros(1 << 16, np.uint32)
+        self.place: np.ndarray = np.zeros(1 << 12, np.int64)
+        self.letters: np.ndarray = np.zeros(1 << 12, np.int64)
+        self.n = self.used = self.wrote = 0
 
     def _hashes(self, codes: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each piece that mixes two position-weighted sums of its code points and its length."""
@@ -283,7 +348,9 @@ class Encoder:
             out = (out ^ (s ^ (s >> np.uint64(29)))) * np.uint64(0xD6E8FEB86659FD93)
         return out ^ (out >> np.uint64(32))
 
-    def _learn(self, codes: np.ndarray, starts: np.ndarray, lens: np.ndarray, hashes: np.ndarray) -> None:
+    def _learn(self, codes: np.ndarray, starts: np.ndarray, lens: np.ndarray, hashes: np.ndarray | None) -> np.ndarray:
+        """The indices of new pieces; they are found again by their hashes, if given."""
+        index = np.zeros(len(starts), np.int64)
         where = np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
         c = codes[where]
         width = 1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF)
@@ -298,21 +365,30 @@ class Encoder:
             flat, counts = self.v.encode_many(np.frombuffer(data, np.uint8)[mask], size[short])
             pieces.append((short, flat, counts))
         for i in long:
-            got = PrefixTable(self.v, data[ends[i] - size[i] : ends[i]]).ids()
-            pieces.append((np.array([i]), np.array(got), np.array([len(got)])))
+            got = self.v.encode_long(np.frombuffer(data, np.uint8)[ends[i] - size[i] : ends[i]])
+            pieces.append((np.array([i]), got, np.array([len(got)])))
+        begins = np.cumsum(lens) - lens
+        if self.wrote + len(c) > len(self.written):
+            self.written = np.concatenate([self.written, np.zeros(max(len(c), len(self.written)), np.uint32)])
+        self.written[self.wrote : self.wrote + len(c)] = c
         for at, flat, counts in pieces:
             need = self.used + len(flat)
             if need > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.int32)])
             if self.n + len(at) > len(self.begin):
                 more = np.zeros(max(len(at), len(self.begin)), np.int64)
-                self.begin, self.count = np.concatenate([self.begin, more]), np.concatenate([self.count, more])
+                self.begin, self.count, self.place, self.letters = (np.concatenate([x, more]) for x in (self.begin, self.count, self.place, self.letters))
             self.flat[self.used : need] = flat
             self.begin[self.n : self.n + len(at)] = self.used + np.cumsum(counts) - counts
             self.count[self.n : self.n + len(at)] = counts
-            self.known.update(zip(hashes[at].tolist(), range(self.n, self.n + len(at))))
+            self.place[self.n : self.n + len(at)], self.letters[self.n : self.n + len(at)] = self.wrote + begins[at], lens[at]
+            index[at] = np.arange(self.n, self.n + len(at))
             self.n += len(at)
             self.used = need
+        self.wrote += len(c)
+        if hashes is not None:
+            self.known.update(zip(hashes.tolist(), index.tolist()))
+        return index
 
     def pieces(self, texts: list[str]):
         """(owner, start, length, index) of all pieces of non-empty texts: code points within the texts laid end to end;
@@ -324,16 +400,22 @@ class Encoder:
         fresh[begin[lens > 0]] = True
         starts = np.nonzero(piece_starts(codes, fresh))[0]
         size = np.diff(np.append(starts, len(codes)))
-        if self.n > REMEMBER or self.used > REMEMBER_IDS:
+        if self.n > REMEMBER or self.used > REMEMBER_IDS or self.wrote > 4 * REMEMBER_IDS:
             self._reset()
         unique, at, back = np.unique(self._hashes(codes, starts, size), return_index=True, return_inverse=True)
         index = np.fromiter((self.known.get(h, -1) for h in unique.tolist()), np.int64, len(unique))
         new = index < 0
         if new.any():
-            self._learn(codes, starts[at[new]], size[at[new]], unique[new])
-            index[new] = np.fromiter(map(self.known.__getitem__, unique[new].tolist()), np.int64, int(new.sum()))
+            index[new] = self._learn(codes, starts[at[new]], size[at[new]], unique[new])
+        index = index[back]
+        # a piece whose hash another one has is encoded by itself
+        there = np.minimum(np.repeat(self.place[index], size) + np.arange(len(codes)) - np.repeat(starts, size), len(self.written) - 1)
+        other = np.unique(np.repeat(np.arange(len(starts)), size)[self.written[there] != codes]) if len(codes) else starts
+        if len(other) or (self.letters[index] != size).any():
+            other = np.union1d(other, np.nonzero(self.letters[index] != size)[0])
+            index[other] = self._learn(codes, starts[other], size[other], None)
         owner = np.repeat(np.arange(len(texts)), lens)[starts] if len(codes) else starts
-        return owner, starts, size, index[back]
+        return owner, starts, size, index
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, flat (int32), and each text's number of ids."""

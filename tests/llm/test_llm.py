@@ -57,6 +57,34 @@ def test_appends_and_edits(encoder, a, b, i, j):
     assert table.ids() == bpe.PrefixTable(encoder.v, ((a + b)[:i] + "new" + (a + b)[j:]).encode()).ids()
 
 
+@pytest.fixture(scope="module")
+def public():
+    tiktoken = pytest.importorskip("tiktoken")
+    return tiktoken.Encoding("b", pat_str=r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""", mergeable_ranks=bpe.load_ranks(bpe.DEFAULT_TOKENIZER), special_tokens={})
+
+
+def test_unbroken_texts(encoder, public):
+    random.seed(12)
+    words = ["warehouse", "kitchen", "night", "shift", "Straße", "厨房", "募集", "ação"]
+    texts = ["".join(random.choice(words) for _ in range(3000)), "x" * 9000, "ab" * 4000, "-" * 7000 + "=" * 5000, "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000)), "漢字" * 3000, "".join(chr(random.randrange(0x4E00, 0x9FFF)) for _ in range(4000))]
+    assert ids(encoder, texts) == [public.encode_ordinary(t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "aa", "lower", "night", "é", "漢", "----", "=", "\u0301", "zq"]), min_size=1, max_size=400), st.integers(1, 12))
+def test_windows_are_exact(encoder, parts, times):
+    data = ("".join(parts) * times).encode()
+    flat, _ = encoder.v.encode_many(np.frombuffer(data, np.uint8), np.array([len(data)]))
+    assert encoder.v.encode_long(np.frombuffer(data, np.uint8)).tolist() == flat.tolist()
+
+
+def test_pieces_with_one_hash(public, monkeypatch):
+    monkeypatch.setattr(bpe.Encoder, "_hashes", lambda self, codes, starts, lens: (lens % 2).astype(np.uint64))
+    e = bpe.Encoder(bpe.load_ranks(bpe.DEFAULT_TOKENIZER))
+    for texts in (["some words of a text", "other words, longer ones"], ["words again", "", "some new words"]):
+        assert ids(e, texts) == [public.encode_ordinary(t) for t in texts]
+
+
 def test_encode_table(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", None), (2, "hello world", "ids"), (None, " ", "y")], "doc_id long, text string, ids string")
     got = sorted((r.doc_id or 0, list(r.ids)) for r in encode_corpus(df, "doc_id", "text").collect())

@@ -1,21 +1,20 @@
-"""Problem 9: filling containers of fixed capacity.
+"""Problem 9: filling containers of fixed capacity, balanced by cost.
 
 Items above the capacity are divided into full containers and a rest. All other items of a block are
-taken in descending order. Each goes to the sequence of lowest cost (linear plus quadratic in
-the lengths of its items, as attention is) that has room; where that rule alone would need more containers, only items of up to FINE
-tokens follow it, and larger ones go to the fullest sequence with room, of equally full ones to that of lowest cost. The
-number of sequences starts at the least possible and the rule is used for as many items as that number allows.
-Blocks are cut by the ids' hash, so all work is within blocks of bounded size.
+taken in descending order and each goes to the sequence of lowest cost (linear plus quadratic in
+the lengths of its items, as attention is) that has room, out of the least possible number of sequences. Where none has room for an item, one of the emptiest
+gets it by giving another sequence an item in exchange for a slightly smaller one, so that what is left over in several comes together in one.
+Only what can't be helped so opens further sequences. Blocks are cut by a hash, so all work is within blocks of bounded size.
 """
 
 from __future__ import annotations
 
-import bisect
 import heapq
 import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,39 +22,46 @@ from adloom.llm.bpe import DEFAULT_TOKENIZER, encoder, portions
 from adloom.session import cut
 
 #: Items of a block, and the cost of a sequence: LINEAR * tokens + sum of QUADRATIC * tokens ** 2 of its items.
-BLOCK, LINEAR, QUADRATIC = 40_000, 1.0, 1 / 1024
-#: Shares of the capacity up to which items follow the rule of lowest cost, tried in this order, and how many sequences above the least number.
-FINE, EXTRA = (1.0, 1 / 4, 1 / 8, 1 / 16, 1 / 32), (0, 1, 2, 4, 8, 16, 32)
+BLOCK, LINEAR, QUADRATIC = 20_000, 1.0, 1 / 1024
 
 
-class _Tree:
-    """The sequence of least cost among those with at least so much room: least costs by remaining room, in a segment tree."""
+#: Emptiest sequences that an exchange is looked for in first, and how many times as many then, until it is in all.
+TRIED, MORE = 256, 16
 
-    def __init__(self, capacity: int):
-        self.base = 1 << (capacity + 1 - 1).bit_length() if capacity else 1
-        while self.base < capacity + 1:
-            self.base *= 2
+
+class _Sequences:
+    """Sequences with room and cost; finds that of least cost among those with at least so much room, by a segment tree over rooms."""
+
+    def __init__(self, capacity: int, opened: int):
+        self.base = 1 << capacity.bit_length()
         self.top = [math.inf] * (2 * self.base)
         self.heaps: dict[int, list] = {}
-        self.rooms = 0  # a bit for each room that some sequence has
+        self.room = np.full(opened, capacity, np.int64)
+        self.cost = [0.0] * opened
+        self.heaps[capacity] = [(0.0, k) for k in range(opened)]
+        self._lift(capacity)
 
     def _lift(self, room: int) -> None:
         h = self.heaps.get(room)
-        i = self.base + room
-        value = h[0][0] if h else math.inf
-        self.rooms = self.rooms | 1 << room if h else self.rooms & ~(1 << room)
+        while h and (self.cost[h[0][1]] != h[0][0] or self.room[h[0][1]] != room):  # it has changed since
+            heapq.heappop(h)
+        i, value = self.base + room, h[0][0] if h else math.inf
         while i and self.top[i] != value:
             self.top[i] = value
             i //= 2
             if i:
                 value = min(self.top[2 * i], self.top[2 * i + 1])
 
-    def put(self, cost: float, room: int, which: int) -> None:
-        heapq.heappush(self.heaps.setdefault(room, []), (cost, which))
+    def change(self, k: int, room: int, cost: float) -> None:
+        before, self.room[k], self.cost[k] = int(self.room[k]), room, cost
+        heapq.heappush(self.heaps.setdefault(room, []), (cost, k))
+        self._lift(before)
         self._lift(room)
 
-    def take(self, least: int) -> tuple[float, int, int] | None:
-        """(cost, room, sequence), taken out."""
+    def add(self, k: int, size: int) -> None:
+        self.change(k, int(self.room[k]) - size, self.cost[k] + _cost(size))
+
+    def cheapest(self, least: int) -> int | None:
         lo, hi, best, at = self.base + least, 2 * self.base - 1, math.inf, 0
         while lo <= hi:
             if lo & 1:
@@ -72,34 +78,43 @@ class _Tree:
             return None
         while at < self.base:
             at = 2 * at if self.top[2 * at] == best else 2 * at + 1
-        return self._pop(at - self.base)
-
-    def take_fullest(self, least: int) -> tuple[float, int, int] | None:
-        """The same of the least room, among equals of least cost."""
-        fit = self.rooms >> least
-        return self._pop(least + (fit & -fit).bit_length() - 1) if fit else None
-
-    def _pop(self, room: int) -> tuple[float, int, int]:
-        cost, which = heapq.heappop(self.heaps[room])
-        self._lift(room)
-        return cost, room, which
-
-
-def _attempt(sizes: list[int], capacity: int, opened: int, fine: int) -> tuple[list[int], list[int]]:
-    """Each item's sequence (-1: fits none) and the sequences' room; sizes are in descending order, those of up to `fine` follow the rule of lowest cost."""
-    tree, place, room_of = _Tree(capacity), [], [capacity] * opened
-    for k in range(opened):
-        tree.put(0.0, capacity, k)
-    for s in sizes:
-        got = tree.take(s) if s <= fine else tree.take_fullest(s)
-        if got is None:
-            place.append(-1)
-            continue
-        cost, room, k = got
-        room_of[k] = room - s
-        tree.put(cost + LINEAR * s + QUADRATIC * s * s, room - s, k)
-        place.append(k)
-    return place, room_of
+        return self.heaps[at - self.base][0][1]
+
+
+def _cost(size: int) -> float:
+    return LINEAR * size + QUADRATIC * size * size
+
+
+def cost_of(sizes: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """The cost of each sequence."""
+    return np.bincount(where, LINEAR * sizes + QUADRATIC * sizes.astype(np.float64) ** 2)
+
+
+def _exchange(q: _Sequences, sizes: np.ndarray, place: np.ndarray, s: int) -> int | None:
+    """A sequence that has room for s after one of its items was exchanged for a smaller one of another sequence, or None. sizes are in descending order; place is -1 for what isn't placed."""
+    low, tried, n = -sizes, TRIED, len(sizes)
+    rooms = np.where(place >= 0, q.room[place], -1)
+    while True:
+        cut = int(np.partition(q.room, len(q.room) - tried)[len(q.room) - tried]) if tried < len(q.room) else 0
+        mine = np.flatnonzero(rooms >= cut)
+        # the first item that is smaller by what is lacking, and some after it, if the room where it is takes the difference
+        at = np.searchsorted(low, low[mine] + s - rooms[mine])
+        for step in (0, 1, 3, 8, 20, 50, 120):
+            j = np.minimum(at + step, n - 1)
+            gain = sizes[mine] - sizes[j]
+            ok = np.flatnonzero((gain >= s - rooms[mine]) & (gain <= rooms[j]) & (place[j] != place[mine]))
+            if len(ok):
+                best = ok[(gain[ok] - (s - rooms[mine[ok]])).argmin()]
+                i, j = int(mine[best]), int(j[best])
+                k, other, gain = int(place[i]), int(place[j]), int(sizes[i] - sizes[j])
+                place[i], place[j] = other, k
+                moved = _cost(int(sizes[i])) - _cost(int(sizes[j]))
+                q.change(k, int(q.room[k]) + gain, q.cost[k] - moved)
+                q.change(other, int(q.room[other]) - gain, q.cost[other] + moved)
+                return k
+        if cut == 0:
+            return None
+        tried *= MORE
 
 
 def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -107,73 +122,68 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
     if not len(sizes):
         return np.zeros(0, np.int64)
     order = np.argsort(-sizes, kind="stable")
-    down = sizes[order].tolist()
-    least, best = -(-sum(down) // capacity), None
-    for extra in EXTRA:
-        for fine in FINE:
-            place, room = _attempt(down, capacity, least + extra, int(capacity * fine))
-            lost = place.count(-1)
-            if best is None or (lost, extra) < best[:2]:
-                best = (lost, extra, place, room)
-            if not lost:
-                break
-        if not lost:
-            break
-    lost, extra, place, room = best
-    if lost:
-        # those left over fill what room there is, fullest first, then new containers
-        opened, free = least + extra, sorted((r, k) for k, r in enumerate(room))
-        for i, s in enumerate(down):
-            if place[i] < 0:
-                at = bisect.bisect_left(free, (s, -1))
-                if at == len(free):
-                    k, r = opened, capacity
-                    opened += 1
-                else:
-                    r, k = free.pop(at)
-                place[i] = k
-                bisect.insort(free, (r - s, k))
-        # a sequence that got nothing doesn't count
-        used = {k: i for i, k in enumerate(sorted(set(place)))}
-        place = [used[k] for k in place]
+    down = sizes[order].astype(np.int64)
+    place, left, opened = np.full(len(down), -1, np.int64), np.arange(len(down)), 0
+    while len(left):
+        # what is left over from the sequences before goes into the least number of further ones, by the same rule
+        q = _Sequences(capacity, -(-int(down[left].sum()) // capacity))
+        own = np.full(len(down), -1, np.int64)
+        for i in left.tolist():
+            s = int(down[i])
+            k = q.cheapest(s)
+            if k is None:
+                k = _exchange(q, down[:i], own[:i], s)
+            if k is not None:
+                own[i] = k
+                q.add(k, s)
+        put = own >= 0
+        place[put] = own[put] + opened
+        opened += len(q.room)
+        left = left[~put[left]]
+    # a sequence that got nothing doesn't count
+    place = np.unique(place, return_inverse=True)[1]
     out = np.empty(len(sizes), np.int64)
     out[order] = place
     return out
 
 
 def sized(df: DataFrame, id_col: str, text_col: str, tokenizer: str = DEFAULT_TOKENIZER) -> DataFrame:
-    """(id, n): tokens of each text that isn't NULL or empty."""
+    """(id, n, h): tokens and a hash of each text that isn't NULL or empty."""
 
     def measure(batches):
         e = encoder(tokenizer)
         for b in batches:
             texts = b.column(1).to_pylist()
             for lo, hi in portions(texts):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(e.sizes(texts[lo:hi]))], ["id", "n"])
+                hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in texts[lo:hi]], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(e.sizes(texts[lo:hi])), pa.array(hashes)], ["id", "n", "h"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text <> ''")
-    return rows.mapInArrow(measure, "id long, n long")
+    return rows.mapInArrow(measure, "id long, n long, h long")
 
 
 def fill_containers(df: DataFrame, id_col: str, text_col: str, capacity: int = 2048, tokenizer: str = DEFAULT_TOKENIZER) -> DataFrame:
     """(id, part, token_start, n_tokens, container, position): each text's parts and where they went.
 
     part and token_start are 0 unless the text is above the capacity; such a text has a part for each full
-    container and one for its rest. container is a string unique in the result, position counts within it.
+    container and one for its rest. container is a string unique in the result and the same wherever the rows lie, position counts within it.
     NULL and empty texts have no parts; blank ones count like others. Rows that repeat, ids
     too, are items of their own; a NULL id is kept. An empty table gives no rows, other columns don't matter.
     """
-    sizes = cut(sized(df, id_col, text_col, tokenizer))
-    full = F.floor(F.col("n") / capacity)
-    parts = sizes.select("id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.ceil(F.col("n") / capacity) - 1))).alias("part"), full.alias("full"))
-    items = parts.select("id", "part", (F.col("part") * capacity).alias("token_start"), F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("part") * capacity).alias("n_tokens"))
-    whole = items.where(F.col("n_tokens") == capacity).select("*", F.concat(F.lit("w"), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit("_"), F.col("part").cast("string"), F.lit("_"), F.monotonically_increasing_id().cast("string")).alias("container"), F.lit(0).cast("long").alias("position"))
+    # rows of one id and text can't be told apart: they are counted before the shuffle and numbered
+    same = cut(sized(df, id_col, text_col, tokenizer).groupBy("id", "n", "h").agg(F.count("*").alias("copies")))
+    zero = F.lit(0).cast("long")
+    rows = same.select("id", "n", "h", F.explode(F.sequence(zero, F.col("copies") - 1)).alias("copy"))
+    parts = rows.select("*", F.explode(F.sequence(zero, F.greatest(zero, F.ceil(F.col("n") / capacity) - 1))).alias("part"))
+    items = parts.select("id", "part", (F.col("part") * capacity).alias("token_start"), F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("part") * capacity).alias("n_tokens"), "h", "copy")
+    name = F.concat_ws("_", F.concat(F.lit("w"), F.coalesce(F.col("id").cast("string"), F.lit("null"))), F.hex("h"), F.col("copy").cast("string"), F.col("part").cast("string"))
+    whole = items.where(F.col("n_tokens") == capacity).select("*", name.alias("container"), zero.alias("position"))
     rest = items.where(F.col("n_tokens") < capacity)
     blocks = max(1, -(-rest.count() // BLOCK))
 
     def fill(key, t):
         block = key[0].as_py()
-        t = t.sort_by([("n_tokens", "descending"), ("id", "ascending"), ("part", "ascending")])
+        t = t.sort_by([("n_tokens", "descending"), ("id", "ascending"), ("part", "ascending"), ("h", "ascending"), ("copy", "ascending")])
         where = pack(t.column("n_tokens").to_numpy(), capacity)
         order = np.argsort(where, kind="stable")
         first = np.r_[True, np.diff(where[order]) != 0]
@@ -183,5 +193,5 @@ def fill_containers(df: DataFrame, id_col: str, text_col: str, capacity: int = 2
         return pa.table([*(t.column(c) for c in ("id", "part", "token_start", "n_tokens")), pa.array([f"b{block}_{k}" for k in where.tolist()]), pa.array(position)], names=["id", "part", "token_start", "n_tokens", "container", "position"])
 
     kind = "id long, part long, token_start long, n_tokens long, container string, position long"
-    packed = rest.withColumn("block", F.pmod(F.xxhash64("id", "part"), F.lit(blocks).cast("long"))).groupBy("block").applyInArrow(fill, kind)
+    packed = rest.withColumn("block", F.pmod(F.xxhash64("id", "h", "copy", "part"), F.lit(blocks).cast("long"))).groupBy("block").applyInArrow(fill, kind)
     return packed.unionByName(whole.select("id", "part", "token_start", "n_tokens", "container", "position"))

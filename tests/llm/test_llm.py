@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from adloom.llm import bpe, canon, langid, pairs
+from adloom.llm import bpe, canon, langid, packing, pairs
 from adloom.llm.copies import copy_groups, fingerprints, same
 from adloom.llm.encoding import encode_corpus
 from adloom.llm.neardup import similar_groups, similarity, version_groups
@@ -99,10 +99,38 @@ def test_packing(sizes):
     if sizes:
         fill = np.bincount(where, sizes)
         assert fill.max() <= 100 and set(where) == set(range(where.max() + 1))
-        # never two containers that would fit into one twice over: at most twice the least number
         assert len(fill) <= 2 * -(-sum(sizes) // 100)
 
 
+def test_packing_wastes_little_and_balances():
+    rng = np.random.default_rng(5)
+    sizes = np.minimum(2047, np.maximum(1, rng.lognormal(5.3, 1.1, 20_000))).astype(np.int64)
+    where = pack(sizes, 2048)
+    fill = np.bincount(where, sizes)
+    assert fill.max() <= 2048 and len(fill) <= 1.002 * sizes.sum() / 2048 + 1
+    # first fit descending, which doesn't look at costs
+    room, other = [], []
+    for s in sorted(sizes.tolist(), reverse=True):
+        k = next((k for k, r in enumerate(room) if r >= s), len(room))
+        if k == len(room):
+            room.append(2048)
+            other.append(0.0)
+        room[k] -= s
+        other[k] += s + s * s / 1024
+    cost = packing.cost_of(sizes, where)
+    print(f"fill {sizes.sum() / 2048 / len(fill):.4f}, costs {cost.mean():.0f} with a deviation of {cost.std():.0f} against {np.std(other):.0f} of first fit")
+    assert cost.std() < 0.9 * np.std(other)
+
+
+def test_containers_of_null_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 50)
+    rows = [(None, f"text {i} " * (i % 90 + 1)) for i in range(300)] + [(7, "same words " * 40)] * 300
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = sorted(str(tuple(r)) for r in fill_containers(df, "id", "text").collect())
+    assert len(got) == 600 and len({r.split("'")[1].split("_")[0] for r in got}) >= 10
+    assert got == sorted(str(tuple(r)) for r in fill_containers(df.repartition(5), "id", "text").collect())
+
+
 def test_containers(spark, encoder):
     texts = [(i, "word " * n) for i, n in enumerate([1, 10, 300, 3000, 5000, 40, 40, 40])] + [(50, None), (51, ""), (3, "again")]
     got = fill_containers(spark.createDataFrame(texts, "id long, text string"), "id", "text").collect()

@@ -1,9 +1,11 @@
 """Problem 2: the language of texts and of the segments of mixed ones.
 
 Script ranges narrow the candidates of each sentence or list item; within a script, per-word
-(for unspaced scripts per-character) log scores of a naive Bayes model decide. A
+(for unspaced scripts per-character) log scores of a naive Bayes model decide, and where a sentence holds words of
+several scripts, a run of each tells against the languages of the others. A
 Viterbi pass over a text's sentences sums the word scores of each, forbids a switch inside one and charges
-SWITCH for one between two, so that a segment is a longest run of whole sentences in one language.
+SWITCH for one between two, so that a segment is a longest run of whole sentences in one language. Its confidence is the posterior
+of its language under the same chain, by the forward-backward algorithm.
 """
 
 from __future__ import annotations
@@ -17,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.sampling import hash_sample
-
 LANGUAGES = ("ja", "en", "zh", "ko", "vi", "pt", "id", "de")
-#: Labelled texts that the model is fitted on at most, and how much a switch between sentences costs (nats).
-SAMPLE, SWITCH = 6_000, 5.0
+#: How much a switch between sentences costs (nats).
+SWITCH = 5.0
+#: What a character of a script, at most so many of a run, and a lower-case Latin word are worth against languages of other scripts (nats).
+CHARACTER, LONGEST, WORD = 2.0, 4, 2.0
 #: What the ad's language is worth for a title in the same script (nats).
 HOME = 4.0
 #: Scripts by language; a language that isn't named here is written in Latin letters.
@@ -29,6 +31,8 @@ SCRIPT = {"ja": "kana", "zh": "han", "ko": "hangul"}
 _KANA = re.compile(r"[ぁ-ゖァ-ヺー々ゝゞ]")
 _HAN = re.compile(r"[㐀-䶿一-鿿𠀀-𯿿]")
 _HANGUL = re.compile(r"[가-힣ᄀ-ᇿ㄰-㆏]")
+_LOWER = re.compile(r"(?<![^\W\d_])[a-zß-öø-ÿāăąćčďđēęěğīıłńňōőœřśşšťūůűźżžơưạ-ỹ]{2,}(?![^\W\d_])")
+_RUNS = re.compile(r"(?P<kana>[ぁ-ゖァ-ヺー々ゝゞ]+)|(?P<han>[㐀-䶿一-鿿𠀀-𯿿]+)|(?P<hangul>[가-힣ᄀ-ᇿ㄰-㆏]+)")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 #: Sentence and item ends: line breaks, full stops of unspaced scripts, stops before whitespace, a slash or bar between spaces.
 _END = re.compile(r"[\r\n  \x0b\x0c]+|(?<=[。！？｡])(?![」』）)”\"])|(?<=[.!?…])[\"”’»)]*\s+|\s+[/|｜／]\s+")
@@ -108,18 +112,36 @@ class Model:
         """Log scores (0 at best) of the languages a sentence may be in; None if it has no words of a language."""
         latin = s.isascii() or max(s) < "ᄀ"
         if not latin:
-            kana = len(_KANA.findall(s))
+            kana, hangul = len(_KANA.findall(s)), len(_HANGUL.findall(s))
+            han = _HAN.findall(s)
+            if (kana or hangul or han) and ((hangul and (kana or han)) or _LOWER.search(s)):
+                return self._mixed(s, han)
             if kana > 1:
                 return {"ja": 0.0}
-            if len(_HANGUL.findall(s)) > 1:
+            if hangul > 1:
                 return {"ko": 0.0}
-            han = _HAN.findall(s)
             if len(han) > 1 or (han and kana):
                 d = sum(self.chars.get(c, 0.0) for c in han) + (3.0 if kana else 0.0)
                 return {"ja": min(d, 0.0), "zh": min(-d, 0.0)}
-        found = _WORD.findall(s)
-        if not latin:
-            found = [w for w in found if max(w) < "ᄀ"]
+        return self._latin([w for w in _WORD.findall(s) if latin or max(w) < "ᄀ"], all_words)
+
+    def _mixed(self, s: str, han: list[str]) -> dict[str, float] | None:
+        """Scores of a sentence with words of several scripts: each run counts against the languages of other scripts."""
+        against = {"kana": 0.0, "han": 0.0, "hangul": 0.0}
+        for m in _RUNS.finditer(s):
+            against[m.lastgroup] += CHARACTER * min(LONGEST, m.end() - m.start())
+        words = len(_LOWER.findall(s)) * WORD
+        kana, other, hangul = against["kana"], against["han"], against["hangul"]
+        d = sum(self.chars.get(c, 0.0) for c in han)
+        out = {"ja": min(d, 0.0) - hangul - words, "zh": min(-d, 0.0) - kana - hangul - words, "ko": -kana - other - words}
+        latin = self._latin([w for w in _WORD.findall(s) if max(w) < "ᄀ"], True)
+        for x, v in (latin or {}).items():
+            out[x] = v - kana - other - hangul
+        top = max(out.values())
+        return {x: v - top for x, v in out.items() if v - top > -30}
+
+    def _latin(self, found: list[str], all_words: bool) -> dict[str, float] | None:
+        """Scores by Latin-script words."""
         if not found or (len(found) < 2 and not all_words):
             return None  # one word is a name or a mark (TEL, No.), unless it is all there is
         memo, rows = self._memo, []
@@ -175,9 +197,7 @@ def segments(text: str, model: Model, switch: float = SWITCH) -> list[tuple[str,
         path = path[1]
     labels.reverse()
     out: list[list] = []
-    for lang, (a, b, got) in zip(labels, units):
-        rest = sum(math.exp(got[lang] * -1 + s) for x, s in got.items() if x != lang) if len(got) > 1 else 0.0
-        sure = 1 / (1 + rest) if rest < 1e6 else 0.0
+    for lang, (a, b, _), sure in zip(labels, units, _posteriors(labels, [u[2] for u in units], switch)):
         if out and out[-1][0] == lang:
             out[-1][2] = b
             out[-1][3].append((sure, b - a))
@@ -186,6 +206,30 @@ def segments(text: str, model: Model, switch: float = SWITCH) -> list[tuple[str,
     return [(x, a, b, sum(p * n for p, n in c) / sum(n for _, n in c)) for x, a, b, c in out]
 
 
+def _posteriors(labels: list[str], scores: list[dict[str, float]], switch: float) -> list[float]:
+    """The probability of each label given all sentences, by the forward-backward algorithm."""
+    if all(len(x) == 1 for x in scores):
+        return [1.0] * len(labels)
+    toll, out = math.exp(-switch), []
+
+    def pass_over(order) -> list[dict[str, float]]:
+        """What the sentences before (in this order) say of each one."""
+        said, past = [], None
+        for x in order:
+            here = {k: (past.get(k, 0.0) * (1 - toll) + toll if past else 1.0) for k in x}
+            said.append(here)
+            past = {k: v * math.exp(x[k]) for k, v in here.items()}
+            total = sum(past.values()) or 1.0
+            past = {k: v / total for k, v in past.items()}
+        return said
+
+    before, after = pass_over(scores), pass_over(scores[::-1])[::-1]
+    for lang, x, p, q in zip(labels, scores, before, after):
+        weights = {k: p[k] * q[k] * math.exp(v) for k, v in x.items()}
+        out.append(weights[lang] / (sum(weights.values()) or 1.0))
+    return out
+
+
 def title_language(title: str, employer: str | None, body: list[tuple[str, int, int, float]], model: Model) -> tuple[str, float] | None:
     """A title's language: its own words', or the ad's where it only names a company or has no words that tell."""
     text = unicodedata.normalize("NFKC", title)
@@ -212,15 +256,11 @@ def title_language(title: str, employer: str | None, body: list[tuple[str, int,
     return lang, 1 / sum(math.exp(s - got[lang]) for s in got.values())
 
 
-def fit(df: DataFrame, id_col: str, columns: dict[str, str], languages: tuple[str, ...] = LANGUAGES, sample: int = SAMPLE) -> Model:
-    """The model of at most `sample` labelled texts of each column (label by text column), those of the least hash of the id, so
-    that the same are taken wherever they lie. Wrong labels among them only blur the scores. Without a labelled row only scripts decide."""
-    rows = []
-    for text, label_col in columns.items():
-        label = F.lower(F.trim(F.col(label_col)))
-        chosen = df.where(label.isin(*languages) & F.col(text).isNotNull())
-        rows += [(r["l"], r["t"]) for r in hash_sample(chosen, id_col, [label.alias("l"), F.col(text).alias("t")], sample)]
-    return Model(rows, languages)
+def fit(rows: list, columns: dict[str, str], languages: tuple[str, ...] = LANGUAGES) -> Model:
+    """The model of the labelled texts among sampled rows (label by text column). Wrong labels among them only blur the scores. Without a labelled
+    row only scripts decide."""
+    labelled = ((r[label].strip().lower(), r[text]) for text, label in columns.items() for r in rows if r[label] and r[text])
+    return Model([x for x in labelled if x[0] in languages], languages)
 
 
 def language_labels(df: DataFrame, id_col: str, body: str, body_label: str, title: str, title_label: str, employer: str, model: Model) -> DataFrame:

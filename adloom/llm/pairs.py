@@ -1,16 +1,19 @@
 """Problem 1: broken prompt and response pairs.
 
 A response is cut into clauses and a linear-chain conditional random field tags each as answer, refusal, echo
-(of the prompt), foreign or unfinished. The clauses' tags are then weighed by their length into a coverage
-of the response, and that, with what the prompt has and the response lacks, gives the pair's defect.
-
-The field's weights are fitted by gradient ascent on pairs made from a bounded sample: sound responses
-as they are, cut short, replaced by their prompt, by a prompt in another language, or by a refusal. The sample also
-gives how clauses end and which words there are.
+(of the prompt), foreign or unfinished. The clauses' tags are weighed by their length into a coverage
+of the response, and the coverage gives the defect: mostly refusal, mostly echo, mostly foreign, or an unfinished clause. Only an empty
+response is told without tags. A title is a response of one clause under the same field.
+
+What the field sees of a clause are its likeness to the prompt, its language, how much its words are those of refusals rather than of
+answers, and, at the response's end, how it ends and how much of the prompt is behind it. The field's weights are fitted on pairs made from a
+bounded sample: sound responses as they are, cut short, replaced by their prompt, by a prompt in another language, or by a refusal. The
+sample also gives how clauses end, which words there are and how long answers are.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -20,35 +23,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.langid import SAMPLE, Model, sentences
+from adloom.llm.langid import Model, sentences
 from adloom.llm.normal import bare
-from adloom.llm.sampling import hash_sample
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 #: What stands for an answer without being one.
 NOTHING = {"", "none", "null", "nil", "na", "nooutput", "noanswer", "notranslation", "empty", "なし", "無し", "無", "tbd", "nan", "undefined", "unknown", "translation", "englishtranslation", "hereisthetranslation", "note", "answer", "output", "english", "result", "response", "title", "jobtitle"}
-#: What a response says of itself or of its task.
-_DECLINE = re.compile(
-    r"\b(?:cannot|can[’']?t|can not|unable|not able|not (?:permitted|allowed)|must decline|have to decline|won[’']?t|refuse|apologi[sz]e|apologies|not possible|not comfortable|not feel comfortable|rather not)\b"
-    r"|できません|できかねます|かねます|いたしかねます|お断り|お手伝い(?:でき|は)|无法|不能|抱歉|할 수 없|없습니다|죄송|không thể|xin lỗi|não posso|não consigo|desculpe|tidak (?:dapat|bisa)|maaf|kann (?:ich )?(?:diese[nms]?|ihnen|das|leider)? ?.{0,40}nicht|leider",
-    re.I,
-)
-_TASK = re.compile(
-    r"\b(?:I|I[’']m|assistant|this (?:text|content|request|posting|input|message)|translat\w*|process|request|guidelines|english version|of this kind|the input|different text|personal data|another question|feel free)\b"
-    r"|翻訳|依頼|文章|お手伝い|翻译|请求|번역|요청|bản dịch|dịch|traduzir|tradução|menerjemahkan|terjemahan|übersetz",
-    re.I,
-)
-#: Words that belong to a sound posting about itself: it declines applications, not the task.
-_POSTING = re.compile(r"\b(?:applicants?|applications?|weekends?|phone alone|work weekends)\b|応募|お電話だけ|土日", re.I)
+#: Refusals in general wording, from which the words of refusals are learned.
+REFUSALS = (
+    "I'm sorry, but I can't assist with that.", "I apologize, but I am unable to fulfill this request.", "Unfortunately, I cannot translate this text for you.", "As an AI language model, I must decline to answer this.",
+    "I'm not able to provide a translation of this content.", "I won't be able to help you with this task.", "It is not possible for me to process this input.", "I am not permitted to work on this kind of material, as it goes against my guidelines.",
+    "I do not feel comfortable translating this message.", "I would rather not complete this.", "Sorry, this is something that I can't do.", "My apologies, I refuse to continue with this.", "I cannot comply with the request you made.",
+    "Please provide a different text.", "Could you please check the text you sent?", "Feel free to ask me another question.", "If you have any other request, let me know.", "The content may violate my policies.", "It may include private or personal information.",
+    "申し訳ございませんが、この内容は翻訳できません。", "ご依頼にはお答えできかねます。", "その質問にはお答えいたしかねます。", "この文章の翻訳はお手伝いすることができません。", "別の文章をお送りください。", "ご要望には対応できません。",
+    "抱歉，我无法翻译这段文字。", "很抱歉，我不能满足您的请求。", "请提供其他文本。", "죄송하지만 이 글은 번역할 수 없습니다.", "요청하신 내용은 도와드릴 수 없습니다.", "다른 글을 보내 주세요.",
+    "Xin lỗi, tôi không thể dịch văn bản này.", "Tôi không thể thực hiện yêu cầu này.", "Desculpe, mas não posso traduzir este texto.", "Não consigo ajudar com este pedido.", "Maaf, saya tidak dapat menerjemahkan teks ini.", "Saya tidak bisa membantu permintaan ini.",
+    "Es tut mir leid, aber ich kann diesen Text nicht übersetzen.", "Leider kann ich Ihnen bei dieser Anfrage nicht helfen.",
+)
 _LEAD = re.compile(r"^\s*(?:(?:sure|certainly|of course|okay|ok)[,!.]?\s*)?(?:[a-z][a-z ,'’-]{0,40})?\b(?:translation|translated|english|version|note|answer|output|title|job title)\b[a-z ,'’-]{0,30}[:：]\s*", re.I)
 _NUMBER = re.compile(r"\d+")
 _WORDS = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+)*|\d+(?:[:.,]\d+)*")
 _STOP, _DOTS = re.compile(r"[.!?。！？｡][\"'”’»」』）)\]]*\s*$"), re.compile(r"(?:…|\.\.\.|・・・)[\"'”’)」]*\s*$")
 _LETTER = re.compile(r"[^\W_]")
+_SPACED = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+)*")
 WIDTH = 5
-#: A response without one of these declines nothing; looked for before the pattern, which is slow.
-_HINTS = ("cannot", "can't", "can’t", "can not", "unable", "not able", "not permitted", "not allowed", "decline", "won't", "won’t", "refuse", "apolog", "not possible", "comfortable", "rather not", "できません", "かねます", "お断り", "お手伝い", "无法", "不能", "抱歉", "할 수 없", "없습니다", "죄송", "không thể", "xin lỗi", "não posso", "não consigo", "desculpe", "tidak dapat", "tidak bisa", "maaf", "nicht", "leider")
 
 
 def nfkc(text: str | None) -> str:
@@ -62,11 +61,6 @@ def clauses(text: str) -> list[str]:
     return [c for a, b in sentences(text) if _LETTER.search(c := text[a:b].strip())]
 
 
-def _declines(text: str) -> bool:
-    low = text.lower()
-    return any(h in low for h in _HINTS) and bool(_DECLINE.search(text))
-
-
 def _ending(clause: str) -> tuple[str, str]:
     """The last two words, with names and figures as classes; of unspaced scripts the last two characters."""
     c = re.sub(r"[\s.!?。！？｡…\"'”’»」』）)\]]+$", "", clause)
@@ -110,7 +104,6 @@ class Endings:
         return (n + 2 * back) / (n + m + 2)
 
 
-FEATURES = 11
 _MARK = re.compile(r"[\W\d_]*(?:[^\W\d_]{1,4}\.?)?[\W\d_]*")
 
 
@@ -129,97 +122,122 @@ def _unmarked(parts: list[str]) -> list[str]:
 
 def _kind(text: str) -> str:
     """Script and, of Latin letters, whether marks are frequent: what a language's length depends on."""
-    s = text[:2000]
-    if re.search(r"[ぁ-ゖ]{1}.*[ぁ-ゖ]", s, re.S):
+    if text.isascii():
+        return "plain"
+    if len(re.findall(r"[ぁ-ゖ]", text)) > 1:
         return "kana"
-    if re.search(r"[가-힣]{2}", s):
+    if re.search(r"[가-힣]{2}", text):
         return "hangul"
-    if len(re.findall(r"[一-鿿]", s)) * 3 > len(s):
+    if len(re.findall(r"[一-鿿]", text)) * 3 > len(text):
         return "han"
-    marks = sum(c > "\x7f" for c in s)
-    return "marked" if marks * 12 > len(s) else "some" if marks * 100 > len(s) else "plain"
-
-
-def clause_features(clause: str, k: int, n: int, grams: set | None, model: Model, ends: Endings, declines: bool = True) -> tuple[int, ...]:
-    """Indices of the features that hold for clause k of n; declines: whether any clause of the response declines something."""
-    out = [0]
-    if grams:
-        s = bare(clause)
-        own = {s[i : i + WIDTH] for i in range(len(s) - WIDTH + 1)} or {s}
-        share = len(own & grams) / len(own)
-        if share >= 0.6:
-            out.append(1)
-        elif share >= 0.35:
-            out.append(2)
-    got = model.score(clause)
-    if got is not None:
-        en = got.get("en", -20.0)
-        if en < -4:
-            out.append(3)
-        elif en < -1:
-            out.append(4)
-    if declines and not _POSTING.search(clause):
-        if _DECLINE.search(clause):
-            out.append(5)
-        if _TASK.search(clause):
-            out.append(6)
-    if k == n - 1:
-        out.append(7)
-        if _DOTS.search(clause):
-            out.append(8)
-        elif not _STOP.search(clause):
-            p = ends.complete(clause)
-            out.append(9 if p < 0.25 else 10)
-    return tuple(out)
+    marks = sum(c > "\x7f" for c in text)
+    return "marked" if marks * 12 > len(text) else "some" if marks * 100 > len(text) else "plain"
+
+
+def _units(text: str) -> list[str]:
+    """Words of spaced scripts, pairs of characters of unspaced ones."""
+    out = []
+    for w in _SPACED.findall(text.lower()):
+        if w[0] > "\u2e7f":
+            out += [w[k : k + 2] for k in range(len(w) - 1)] or [w]
+        else:
+            out.append(w.replace("’", "'"))
+    return out
+
+
+class Wording:
+    """How much more a clause's words are those of refusals than of sound answers and prompts: log ratios by word, counted over the whole sample.
+    The prior of a refusal's words is what they are elsewhere; a word that neither has tells nothing."""
+
+    def __init__(self, refusals: tuple[str, ...], good: Counter, prior: float = 50.0):
+        bad = Counter(w for t in refusals for w in set(_units(t)))
+        nb, ng = sum(bad.values()) + prior, sum(good.values()) + len(good) + 10_000
+        usual = {w: (good[w] + 1) / ng for w in good.keys() | bad.keys()}
+        self.weight = {w: math.log((bad[w] + prior * p) / (nb * p)) for w, p in usual.items()}
+        telling = [w for w in bad if self.weight[w] > 3]
+        self._words = frozenset(w for w in telling if w[0] < "\u2e7f")
+        self._pairs = re.compile("|".join(map(re.escape, sorted(set(telling) - self._words)))) if set(telling) - self._words else None
+
+    def hints(self, text: str) -> bool:
+        """Whether the text has a telling word at all; most have none, and their clauses needn't be scored."""
+        if not self._words.isdisjoint(_SPACED.findall(text.lower().replace("’", "'"))):
+            return True
+        return bool(self._pairs and not text.isascii() and self._pairs.search(text))
+
+    def score(self, clause: str) -> float:
+        """Sum of the log ratios of the clause's words."""
+        return sum(self.weight.get(w, 0.0) for w in _units(clause))
 
 
 class Field:
-    """The conditional random field: weights of features by tag and of neighbouring tags."""
+    """The conditional random field: weights of named features by tag and of neighbouring tags."""
 
     def __init__(self):
-        self.w = np.zeros((FEATURES, len(TAGS)))
+        self.index: dict[str, int] = {}
+        self.w = np.zeros((0, len(TAGS)))
         self.t = np.zeros((len(TAGS), len(TAGS)))
         self._memo: dict = {}
 
-    def _scores(self, seq) -> np.ndarray:
-        return np.array([self.w[list(f)].sum(0) for f in seq])
-
-    def fit(self, data: list[tuple[list, list[int]]], rounds: int = 8, rate: float = 0.15) -> None:
-        rng = np.random.default_rng(1)
-        for r in range(rounds):
-            for i in rng.permutation(len(data)):
-                seq, tags = data[i]
-                s, n = self._scores(seq), len(seq)
-                a, b = np.zeros((n, 5)), np.zeros((n, 5))
-                a[0] = s[0]
-                for k in range(1, n):
-                    m = a[k - 1][:, None] + self.t
-                    top = m.max(0)
-                    a[k] = s[k] + top + np.log(np.exp(m - top).sum(0))
-                for k in range(n - 2, -1, -1):
-                    m = self.t + (s[k + 1] + b[k + 1])[None, :]
-                    top = m.max(1)
-                    b[k] = top + np.log(np.exp(m - top[:, None]).sum(1))
-                z = a[-1].max() + np.log(np.exp(a[-1] - a[-1].max()).sum())
-                p = np.exp(a + b - z)
-                step = rate / (1 + r / 3)
-                for k in range(n):
-                    g = -p[k]
-                    g[tags[k]] += 1
-                    self.w[list(seq[k])] += step * g
-                for k in range(1, n):
-                    pair = np.exp(a[k - 1][:, None] + self.t + (s[k] + b[k])[None, :] - z)
-                    self.t -= step * pair
-                    self.t[tags[k - 1], tags[k]] += step
-            self.w *= 0.999
-            self.t *= 0.999
-
-    def tag(self, seq: list[tuple[int, ...]]) -> list[int]:
-        """The best tags, by Viterbi."""
+    def fit(self, data: list[tuple[list[tuple[str, ...]], list[int]]], rounds: int = 80, rate: float = 0.15, decay: float = 2e-4) -> None:
+        """Gradient ascent on the likelihood of all sequences at once (Adam); equal ones are counted together."""
+        counts = Counter((tuple(seq), tuple(tags)) for seq, tags in data)
+        self.index = {f: i for i, f in enumerate(sorted({f for seq, _ in counts for c in seq for f in c}))}
+        # longest first, so that those that have a k-th clause come first
+        items = sorted(counts.items(), key=lambda x: (-len(x[0][0]), str(x[0])))
+        weight = np.array([n for _, n in items], float) / max(1, len(data))
+        lens = np.array([len(x[0]) for x, _ in items])
+        longest, n = int(lens.max(initial=0)), len(items)
+        live = [int((lens > k).sum()) for k in range(longest)]
+        where, feature = [], []
+        tags = np.zeros((longest, n), int)
+        for i, ((seq, own), _) in enumerate(items):
+            for k, c in enumerate(seq):
+                tags[k, i] = own[k]
+                for f in c:
+                    where.append(k * n + i)
+                    feature.append(self.index[f])
+        where, feature = np.array(where, int), np.array(feature, int)
+        m = len(TAGS)
+        p = np.zeros(len(self.index) * m + m * m)
+        first, second = np.zeros_like(p), np.zeros_like(p)
+        for step in range(1, rounds + 1):
+            w, t = p[: -m * m].reshape(-1, m), p[-m * m :].reshape(m, m)
+            s = np.stack([np.bincount(where, w[feature, y], longest * n) for y in range(m)], 1).reshape(longest, n, m)
+            a, b = s.copy(), np.zeros_like(s)
+            for k in range(1, longest):
+                v = a[k - 1, : live[k], :, None] + t
+                top = v.max(1)
+                a[k, : live[k]] = s[k, : live[k]] + top + np.log(np.exp(v - top[:, None]).sum(1))
+            for k in range(longest - 2, -1, -1):
+                v = t + (s[k + 1, : live[k + 1]] + b[k + 1, : live[k + 1]])[:, None, :]
+                top = v.max(2)
+                b[k, : live[k + 1]] = top + np.log(np.exp(v - top[:, :, None]).sum(2))
+            end = a[0] + b[0]
+            z = end.max(1) + np.log(np.exp(end - end.max(1)[:, None]).sum(1))
+            gt, gs = np.zeros((m, m)), np.zeros_like(s)
+            for k in range(longest):
+                x = live[k]
+                gs[k, :x] = -np.exp(a[k, :x] + b[k, :x] - z[:x, None])
+                gs[k, np.arange(x), tags[k, :x]] += 1
+                gs[k, :x] *= weight[:x, None]
+                if k:
+                    pair = np.exp(a[k - 1, :x, :, None] + t + (s[k, :x] + b[k, :x])[:, None, :] - z[:x, None, None])
+                    gt -= (pair * weight[:x, None, None]).sum(0)
+                    np.add.at(gt, (tags[k - 1, :x], tags[k, :x]), weight[:x])
+            flat = gs.reshape(-1, m)
+            gw = np.stack([np.bincount(feature, flat[where, y], len(self.index)) for y in range(m)], 1)
+            g = np.concatenate([gw.ravel(), gt.ravel()]) - decay * p
+            first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
+            p = p + rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+        self.w, self.t = p[: -m * m].reshape(-1, m), p[-m * m :].reshape(m, m)
+        self._memo.clear()
+
+    def tag(self, seq: list[tuple[str, ...]]) -> list[int]:
+        """The best tags, by Viterbi. A feature the field wasn't fitted on has no weight."""
         key = tuple(seq)
         if (got := self._memo.get(key)) is not None:
             return got
-        s = self._scores(seq)
+        s = [self.w[[i for f in c if (i := self.index.get(f)) is not None]].sum(0) for c in seq]
         best, back = s[0], []
         for row in s[1:]:
             m = best[:, None] + self.t
@@ -235,33 +253,39 @@ class Field:
         return out
 
 
-#: Refusals the field is fitted on.
-REFUSALS = (
-    "I'm sorry, but I can't translate this text. Could you check the input?",
-    "I am unable to process this request.",
-    "Unfortunately I cannot help with this content. It goes against my guidelines.",
-    "As an assistant I must decline to translate this posting. Please provide a different text.",
-    "申し訳ありませんが、この文章の翻訳はできません。",
-    "ご依頼にはお答えできかねます。別の文章をお送りください。",
-)
-
-
 def _grams(text: str) -> set:
     s = bare(text)
     return {s[i : i + WIDTH] for i in range(len(s) - WIDTH + 1)} or {s}
 
 
+def _bin(x: float, *bounds: float) -> int:
+    return sum(x >= b for b in bounds)
+
+
+def _without_lead(text: str) -> str:
+    while (m := _LEAD.match(text)) and m.end():
+        text = text[m.end() :]
+    return text
+
+
 class Judge:
-    """Says what is wrong with a pair. Everything in it comes from at most `SAMPLE` pairs."""
+    """Says what is wrong with a pair. Everything in it comes from a bounded sample of (prompt, answer, title, its answer)."""
 
-    def __init__(self, pairs: list[tuple[str, str]], titles: list[str], model: Model):
+    def __init__(self, pairs: list[tuple[str, str]], titles: list[tuple[str, str]], model: Model):
         self.model = model
         sound = [(nfkc(q), nfkc(a)) for q, a in pairs]
+        heads = [(nfkc(q), nfkc(a)) for q, a in titles]
         self.answers = Endings([a for _, a in sound])
         self.prompts = Endings([q for q, _ in sound])
+        usual = Counter(w for pair in sound + heads for x in pair for w in _units(x))
+        usual.update(dict.fromkeys(model.words, 20))  # words of languages that are rare among the pairs tell nothing either
+        # refusals are made of one half and judged by the words of the other, so the field learns how well words it hasn't seen tell them
+        self.wording = Wording(REFUSALS, usual)
+        halves = REFUSALS[0::2], REFUSALS[1::2]
+        unseen = [(own, Wording(other, usual)) for own, other in (halves, halves[::-1])]
         words, last = Counter(), Counter()
-        for t in titles:
-            w = [x.lower() for x in re.findall(r"[^\W\d_]{2,}", nfkc(t))]
+        for _, t in heads:
+            w = [x.lower() for x in re.findall(r"[^\W\d_]{2,}", t)]
             words.update(w)
             last.update(w[-1:])
         self.words, self.last = words, last
@@ -275,39 +299,81 @@ class Judge:
             by.setdefault(_kind(q), []).append(sum(map(len, clauses(a))) / max(1, sum(map(len, clauses(q)))))
         self.ratio = {k: float(np.median(v)) for k, v in by.items()}
         self.field = Field()
-        self.field.fit(self._made(sound))
-
-    def _made(self, sound: list[tuple[str, str]]) -> list:
+        data = self._made(sound, unseen) + self._made_titles(heads, unseen)
+        self.field.fit(data)
+        # the sample has defects of its own: what the field calls unsound of the pairs taken as they are is left out
+        kept = [(seq, tags) for seq, tags in data if any(tags) or not any(self.field.tag(seq))]
+        self.field.fit(kept)
+
+    def _made(self, sound: list[tuple[str, str]], unseen: list[tuple[tuple[str, ...], Wording]]) -> list:
+        """Pairs with known tags: as they are, cut short, both cut at one place, an echo, a foreign text, a refusal."""
         rng, data = np.random.default_rng(2), []
-        for i, (q, a) in enumerate(sound[:700]):
-            got = clauses(a)
-            if len(got) < 2 or any(x.get("en", -9) < -1 for c in got if (x := self.model.score(c)) is not None):
+        for i, (q, a) in enumerate(sound):
+            body = _without_lead(a)
+            got, asked = clauses(body), clauses(q)
+            if not got or not asked or not self._is_english(got):
                 continue
-            kind, grams = i % 5, _grams(q)
-            english = all("en" in (self.model.score(c) or {"en": 0}) and (self.model.score(c) or {"en": 0})["en"] > -1 for c in clauses(q))
-            if kind == 1:
-                c = got[rng.integers(len(got))]
-                cut = c[: rng.integers(len(c) // 4 + 1, max(len(c) // 4 + 2, len(c) - 4))].rstrip(" .")
-                if self.answers.complete(cut) > 0.5:
+            english, kind = self._is_english(asked), i % 10
+            if kind in (4, 5, 6) and len(got) > 1:
+                spans = [x for x in sentences(body) if _LETTER.search(body[x[0] : x[1]])]
+                at = int(rng.integers(max(1, len(body) // 8), len(body)))
+                if kind == 4:
+                    # after a whole clause it is only cut short if much is missing
+                    ends = [y for _, y in spans if y < 0.8 * len(body)]
+                    if not ends:
+                        continue
+                    at = ends[int(rng.integers(len(ends)))]
+                if kind == 6:
+                    x = spans[int(rng.integers(len(spans)))]
+                    at = int(rng.integers(x[0] + 1, x[1]))
+                cut = body[:at].rstrip() + ("…" if rng.random() < 0.15 else "")
+                parts = clauses(cut)
+                if not parts or len(_unmarked(parts)) == len(_unmarked(got)) and len(cut) > 0.97 * len(body):
                     continue
-                got = [*got[: rng.integers(0, len(got))], cut]
-                tags = [ANSWER] * (len(got) - 1) + [UNFINISHED]
-            elif kind == 2 and not english:
-                got = clauses(q)
-                tags = [ECHO] * len(got)
-            elif kind == 3 and not english:
-                got, grams = clauses(q), _grams(sound[(i + 77) % len(sound)][0])
-                tags = [FOREIGN] * len(got)
-            elif kind == 4:
-                got = clauses(REFUSALS[i % len(REFUSALS)])
-                tags = [REFUSAL] * len(got)
+                data.append((self._features(q, asked, parts, cut, english), [ANSWER] * (len(parts) - 1) + [UNFINISHED]))
+            elif kind == 7 and len(asked) == len(got) > 1:
+                k, f = int(rng.integers(1, len(asked))), float(rng.uniform(0.15, 0.9))
+                ends = "…" if rng.random() < 0.5 else ""
+                parts = [*got[:k], got[k][: max(2, int(f * len(got[k])))].rstrip() + ends]
+                ask = [*asked[:k], asked[k][: max(2, int(f * len(asked[k])))].rstrip() + ends]
+                data.append((self._features("\n".join(ask), ask, parts, "\n".join(parts), english), [ANSWER] * len(parts)))
+            elif kind == 8 and not english:
+                if i % 20 < 10:
+                    data.append((self._features(q, asked, asked, q, english), [ECHO] * len(asked)))
+                else:
+                    other = sound[(i + 77) % len(sound)][0]
+                    theirs = clauses(other)
+                    if theirs and not self._is_english(theirs):
+                        # as if it had nothing in common with the prompt, which it might by chance
+                        data.append((self._features(q, asked, theirs, other, True), [FOREIGN] * len(theirs)))
+            elif kind == 9:
+                own, wording = unseen[i // 10 % 2]
+                parts = [own[int(k)] for k in rng.choice(len(own), int(rng.integers(1, 4)), replace=False)]
+                data.append((self._features(q, asked, parts, "\n".join(parts), english, wording), [REFUSAL] * len(parts)))
             else:
-                tags = [ANSWER] * len(got)
-                if english:
-                    grams = set()
-            if got:
-                declines = any(map(_DECLINE.search, got))
-                data.append(([clause_features(c, k, len(got), grams, self.model, self.answers, declines) for k, c in enumerate(got)], tags))
+                data.append((self._features(q, asked, got, body, english), [ANSWER] * len(got)))
+        return data
+
+    def _made_titles(self, heads: list[tuple[str, str]], unseen: list[tuple[tuple[str, ...], Wording]]) -> list:
+        rng, data = np.random.default_rng(3), []
+        for i, (q, a) in enumerate(heads):
+            body = _without_lead(a)
+            if not bare(body) or self._foreign_title(body):
+                continue
+            kind, foreign = i % 10, self._foreign_title(q)
+            if kind in (5, 6):
+                w = re.search(r"([^\W\d_]{5,})\W*$", body)
+                if w and self.words.get(w[1].lower(), 0) > 2:
+                    data.append(([self._title_features(q, body[: w.start() + int(rng.integers(2, len(w[1]) - 1))])], [UNFINISHED]))
+            elif kind == 7 and foreign:
+                data.append(([self._title_features(q, q)], [ECHO]))
+            elif kind == 8 and self._foreign_title(other := heads[(i + 77) % len(heads)][0]) and not _near(bare(other), _grams(q), 0.3):
+                data.append(([self._title_features(q, other)], [FOREIGN]))
+            elif kind == 9:
+                own, wording = unseen[i // 10 % 2]
+                data.append(([self._title_features(q, own[int(rng.integers(len(own)))], wording)], [REFUSAL]))
+            elif kind < 5:
+                data.append(([self._title_features(q, body)], [ANSWER]))
         return data
 
     def _is_english(self, parts: list[str]) -> bool:
@@ -321,80 +387,118 @@ class Judge:
                 en += len(c) * (got.get("en", -9.0) > -1)
         return n > 0 and en * 2 > n
 
-    def text(self, prompt: str, answer: str) -> str | None:
-        """The defect of a long answer, or None."""
-        body = nfkc(answer)
-        while (m := _LEAD.match(body)) and m.end():
-            body = body[m.end() :]
-        if len(body) < 80 and bare(body) in NOTHING:
-            return "empty"
-        got = clauses(body)
-        if not got:
-            return "empty"
-        q = nfkc(prompt)
-        asked = clauses(q)
-        english = self._is_english(asked)
+    def _features(self, q: str, asked: list[str], got: list[str], body: str, english: bool, wording: Wording | None = None) -> list[tuple[str, ...]]:
+        """The features of each clause of a response to a prompt."""
+        wording = wording or self.wording
         grams = None
         if not english and (not body.isascii() or q.isascii() or len(q.encode()) < 1.6 * len(q)):
             grams = _grams(q)
-        declines = _declines(body)
-        tags = self.field.tag([clause_features(c, k, len(got), grams, self.model, self.answers, declines) for k, c in enumerate(got)])
-        cover = np.zeros(5)
-        for c, t in zip(got, tags):
-            cover[t] += len(c)
-        total = cover.sum()
-        if cover[REFUSAL] * 2 > total:
-            return "refusal"
-        if not english and grams and (cover[ECHO] * 2 > total or _near(bare(body), grams)):
-            return "copy"
-        if (cover[FOREIGN] + cover[ECHO]) * 2 > total:
-            return "other_language"
-        return "truncated" if self._short(q, body, asked, got, tags) else None
+        echo = "whole" if grams and _near(bare(body), grams) else ""
+        size = sum(map(len, got)) / max(1.0, self.ratio.get(_kind(q), 1.0) * sum(map(len, asked)))
+        hints, out = wording.hints(body), []
+        for clause in got:
+            x = ["any"]
+            if echo:
+                x.append(echo)
+            if grams:
+                s = bare(clause)
+                own = {s[i : i + WIDTH] for i in range(len(s) - WIDTH + 1)} or {s}
+                share = _bin(len(own & grams) / len(own), 0.35, 0.6)
+                if share:
+                    x.append(f"like{share}")
+            if (known := self.model.score(clause)) is not None and (far := _bin(-known.get("en", -20.0), 1, 4)):
+                x.append(f"foreign{far}")
+            if hints and (much := _bin(wording.score(clause), 1, 5, 10)):
+                x.append(f"refusing{much}")
+                x.append(f"refusing{much} short{_bin(size, 0.3, 0.6)}")
+            out.append(tuple(x))
+        out[-1] = out[-1] + self._end(q, asked, got)
+        return out
 
-    def _short(self, prompt: str, answer: str, asked: list[str], got: list[str], tags: list[int]) -> bool:
-        """Whether the answer stops before the prompt does. Marks at the end (numbers, dates) are set aside: either side may have them alone."""
+    def _end(self, prompt: str, asked: list[str], got: list[str]) -> tuple[str, ...]:
+        """How a response ends, against its prompt. Marks at the end (numbers, dates) are set aside: either side may have them alone."""
         asked, kept = _unmarked(asked), _unmarked(got)
         if not kept or not asked:
-            return False
+            return ("last marks",)
         lack, a, q = len(asked) - len(kept), kept[-1], asked[-1]
         ratio = self.ratio.get(_kind(prompt), 1.0)
         whole = sum(map(len, kept)) / max(1.0, ratio * sum(map(len, asked)))
         dots_a, dots_q = bool(_DOTS.search(got[-1])), bool(_DOTS.search(prompt.rstrip()))
+        full = "stop" if _STOP.search(a) else "marks" if len(kept) < len(got) else f"p{_bin(self.answers.complete(a), 0.1, 0.25, 0.5, 0.9)}"
         if dots_a:
-            return not (dots_q and lack <= 1)
-        if lack >= 3 and whole < 0.85:
-            return True
-        if _STOP.search(a) or len(kept) < len(got):
-            return lack >= 2 and whole < 0.85
-        p = self.answers.complete(a)
+            return (f"dots {dots_q} {min(max(lack, -1), 2)}", "dots")
         # the prompt itself is cut: it stops without an end where none is usual
-        if lack <= 1 and (dots_q or (not _STOP.search(q) and self.prompts.complete(q) < 0.15)):
-            return False
-        if lack > 0:
-            return p < 0.25 or whole < 0.9
+        cut = dots_q or (not _STOP.search(q) and self.prompts.complete(q) < 0.15)
+        lack = min(max(lack, -1), 3)
         last = len(a) / max(1.0, ratio * len(q))
-        if lack < 0:
-            return p < 0.1 and whole < 0.95
-        return (p < 0.5 and last < 0.8) or (last < 0.6 and p < 0.9)
+        size, own = _bin(whole, 0.5, 0.7, 0.85, 0.95), _bin(last, 0.5, 0.6, 0.7, 0.8, 0.9)
+        out = [f"last {full}", f"last {full} lack{lack}", f"lack{lack} size{size}", f"last {full} lack{lack} size{size}", f"size{size}"]
+        if lack == 0:
+            out += [f"last {full} own{own}", f"last {full} own{own} size{size}"]
+        if cut and lack <= 1:
+            out += ["both cut", f"both cut {full}"]
+        return tuple(out)
+
+    def _title_features(self, q: str, text: str, wording: Wording | None = None) -> tuple[str, ...]:
+        """The features of a title, a response of one clause."""
+        wording = wording or self.wording
+        x, y = bare(text), bare(q)
+        out = ["any", "title"]
+        if y and self._foreign_title(q):
+            if x == y:
+                out += ["title same", "like2"]
+            elif len(x) > 7 and len(x) * 2 > len(y) and _near(x, _grams(q)):
+                out += ["title like", "like2"]
+        latin = sum(c.isascii() or "À" <= c <= "ỹ" for c in x) * 2 > len(x)
+        if not latin or self._foreign_title(text):
+            out += ["title foreign", "foreign2"]
+        if len(text) > 12 and wording.hints(text) and (much := _bin(wording.score(text), 1, 5, 10)):
+            out += [f"title refusing{much}", f"refusing{much}"]
+        if _DOTS.search(text):
+            out.append(f"title dots {bool(_DOTS.search(q))}")
+        elif m := re.search(r"([^\W\d_]{2,})\s*$", text):
+            w = m[1].lower()
+            longer, own, last = self.longer.get(w, 0), self.words.get(w, 0), self.last.get(w, 0)
+            if longer >= 3 and not (y and x == y):
+                # a usual last word that lacks one letter is a slip; a word may stand inside titles only
+                slip = any(self.last.get(w + c, 0) * 4 > longer for c in "abcdefghijklmnopqrstuvwxyz")
+                inner = own >= 20 and last * 50 <= own
+                begins = f"title begins{_bin(longer / (own + 0.1), 1, 3, 8, 30)} slip{slip} inner{inner}"
+                out += [begins, f"{begins} last{_bin(last, 1, 3)}"]
+        return tuple(out)
+
+    def _defect(self, parts: list[str], features: list[tuple[str, ...]]) -> str | None:
+        """What the tags' coverage says."""
+        cover = np.zeros(len(TAGS))
+        for c, t in zip(parts, self.field.tag(features)):
+            cover[t] += len(c)
+        total = cover.sum()
+        if cover[REFUSAL] * 2 > total - cover[UNFINISHED]:
+            return "refusal"
+        if cover[ECHO] * 2 > total:
+            return "copy"
+        if (cover[FOREIGN] + cover[ECHO]) * 2 > total:
+            return "other_language"
+        return "truncated" if cover[UNFINISHED] else None
+
+    def text(self, prompt: str, answer: str) -> str | None:
+        """The defect of a long answer, or None."""
+        body = _without_lead(nfkc(answer))
+        if len(body) < 80 and bare(body) in NOTHING:
+            return "empty"
+        got = clauses(body)
+        if not got:
+            return "empty"
+        q = nfkc(prompt)
+        asked = clauses(q)
+        return self._defect(got, self._features(q, asked, got, body, self._is_english(asked)))
 
     def title(self, prompt: str, answer: str) -> str | None:
         """The defect of a short answer, or None."""
-        body = nfkc(answer)
-        while (m := _LEAD.match(body)) and m.end():
-            body = body[m.end() :]
+        body = _without_lead(nfkc(answer))
         if bare(body) in NOTHING:
             return "empty"
-        if len(body) > 12 and _declines(body) and _TASK.search(body):
-            return "refusal"
-        q = nfkc(prompt)
-        x, y = bare(body), bare(q)
-        latin = sum(c.isascii() or "À" <= c <= "ỹ" for c in x) * 2 > len(x)
-        foreign_q = self._foreign_title(q)
-        if x and y and foreign_q and (x == y or (len(x) > 7 and _near(x, _grams(q)) and len(x) * 2 > len(y))):
-            return "copy"
-        if not latin or self._foreign_title(body):
-            return "other_language"
-        return "truncated" if self._cut_title(body, q) else None
+        return self._defect([body], [self._title_features(nfkc(prompt), body)])
 
     def _foreign_title(self, text: str) -> bool:
         x = bare(text)
@@ -405,38 +509,16 @@ class Judge:
         got = self.model.score(text, all_words=True)
         return got is not None and got.get("en", -20.0) < -5
 
-    def _cut_title(self, text: str, prompt: str) -> bool:
-        """Whether a title stops inside a word: its last word isn't one, but begins words that are far more frequent."""
-        m = re.search(r"([^\W\d_]{2,})\s*$", text)
-        if _DOTS.search(text):
-            return not _DOTS.search(prompt)
-        if not m:
-            return False
-        w = m[1].lower()
-        longer, own = self.longer.get(w, 0), self.words.get(w, 0)
-        if longer < 3 or own * 8 > longer:
-            # a word that stands inside titles only
-            return longer >= 3 and own >= 20 and self.last.get(w, 0) * 50 <= own
-        whole = bare(text)
-        if bare(prompt).startswith(whole) and bare(prompt) == whole:
-            return False
-        # a usual last word that lacks one letter is a slip
-        return not any(self.last.get(w + c, 0) * 4 > longer for c in "abcdefghijklmnopqrstuvwxyz")
-
 
 def _near(s: str, grams: set, share: float = 0.7) -> bool:
     own = {s[i : i + WIDTH] for i in range(len(s) - WIDTH + 1)} or {s}
     return len(own & grams) >= share * len(own)
 
 
-def fit_judge(df: DataFrame, id_col: str, prompt: str | None, answer: str | None, title_answer: str, model: Model, sample: int = SAMPLE) -> Judge:
-    """A judge of at most `sample` pairs and twice as many titles, those of the least hash of the id, so the same wherever they lie. Without prompt it judges titles only."""
-    rows = []
-    if prompt is not None:
-        long = df.where(F.length(F.trim(prompt)).between(60, 20_000) & F.length(F.trim(answer)).between(60, 20_000))
-        rows = hash_sample(long, id_col, [F.col(prompt).alias("q"), F.col(answer).alias("a")], sample)
-    titles = hash_sample(df.where(F.col(title_answer).isNotNull()), id_col, [F.col(title_answer).alias("a")], 2 * sample)
-    return Judge([(r["q"], r["a"]) for r in rows], [r["a"] for r in titles], model)
+def fit_judge(rows: list, text: tuple[str, str], title: tuple[str, str], model: Model) -> Judge:
+    """A judge of sampled rows, whose pairs are (prompt, answer) columns. All their pairs with two non-blank sides are used, whole."""
+    pairs, titles = ([(r[q], r[a]) for r in rows if not _blank(r[q]) and not _blank(r[a])] for q, a in (text, title))
+    return Judge(pairs, titles, model)
 
 
 def _blank(text: str | None) -> bool:

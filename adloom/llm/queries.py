@@ -8,28 +8,42 @@ from pyspark.sql import functions as F
 from adloom.llm.canon import canonical_codes
 from adloom.llm.copies import copy_groups
 from adloom.llm.encoding import encode_corpus
-from adloom.llm.langid import fit, language_labels
+from adloom.llm.langid import Model, fit, language_labels
 from adloom.llm.neardup import version_groups
 from adloom.llm.packing import fill_containers
-from adloom.llm.pairs import broken_pairs, fit_judge
+from adloom.llm.pairs import Judge, broken_pairs, fit_judge
+from adloom.llm.sampling import row_sample
 from adloom.llm.splitting import split_long
 from adloom.session import table
 
 
 LABELS = {"responsibilities": "responsibilities_lang", "job_title": "job_title_lang"}
+TEXTS, TITLES = ("responsibilities", "description_english"), ("job_title", "job_title_english")
+
+
+def ads_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "jobads_jp")
+
+
+def language_model(ads: DataFrame) -> Model:
+    return fit(row_sample(ads, "id", [F.col(c) for pair in LABELS.items() for c in pair]), LABELS)
+
+
+def judge_of(ads: DataFrame) -> Judge:
+    """The language model and the judge of one sample, read once."""
+    rows = row_sample(ads, "id", [F.col(c) for c in (*LABELS, *LABELS.values(), TEXTS[1], TITLES[1])])
+    return fit_judge(rows, TEXTS, TITLES, fit(rows, LABELS))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ads = table(spark, sf_dir, "jobads_jp")
-    judge = fit_judge(ads, "id", "responsibilities", "description_english", "job_title_english", fit(ads, "id", LABELS))
-    return broken_pairs(ads, "id", ("responsibilities", "description_english"), ("job_title", "job_title_english"), judge)
+    ads = ads_of(spark, sf_dir)
+    return broken_pairs(ads, "id", TEXTS, TITLES, judge_of(ads))
 
 
 def p2_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text and segment with its language and confidence."""
-    ads = table(spark, sf_dir, "jobads_jp")
-    model = fit(ads, "id", LABELS)
-    return language_labels(ads, "id", "responsibilities", "responsibilities_lang", "job_title", "job_title_lang", "employer", model)
+    ads = ads_of(spark, sf_dir)
+    return language_labels(ads, "id", "responsibilities", "responsibilities_lang", "job_title", "job_title_lang", "employer", language_model(ads))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +62,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = table(spark, sf_dir, "jobads_jp")
-    judge = fit_judge(ads, "id", None, None, "job_title_english", fit(ads, "id", LABELS))
     fields = ("job_title_english", "esco_occupation_title_semantic")
-    return canonical_codes(ads, "id", fields, table(spark, sf_dir, "esco_occupations"), "code", "title", "alt_titles", judge, ("job_title", "job_title_english"))
+    return canonical_codes(ads, "id", fields, table(spark, sf_dir, "esco_occupations"), "code", "title", "alt_titles", judge_of(ads), TITLES)
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

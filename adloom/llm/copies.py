@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from adloom.llm.normal import bare
 from adloom.operators.components import components
+from adloom.session import cut, free
 
 _MASK = (1 << 128) - 1
 #: Members of a group that one copy of its first record serves in the comparison join.
@@ -39,15 +40,15 @@ def _hash(name: str, value: str) -> int:
     return xxhash.xxh3_128_intdigest(f"{name}\x00{value}")
 
 
-def fingerprints(swap: list[str | None], lines: str | None) -> tuple[str, str]:
-    """By lines and as a whole, as hex."""
+def fingerprints(swap: list[str | None], lines: str | None) -> tuple[bytes, bytes]:
+    """By lines and as a whole."""
     heads = sum(_hash("head", bare(x)) for x in swap)
     by_line, whole = heads, []
     for line in (lines or "").splitlines():
         if value := bare(line):
             by_line += _hash("line", value)
             whole.append(value)
-    return f"{by_line & _MASK:032x}", f"{heads + _hash('whole', ''.join(whole)) & _MASK:032x}"
+    return (by_line & _MASK).to_bytes(16), (heads + _hash("whole", "".join(whole)) & _MASK).to_bytes(16)
 
 
 def same(a_swap, a_lines, b_swap, b_lines) -> bool:
@@ -79,10 +80,10 @@ def copy_groups(df: DataFrame, id_col: str, swap: tuple[str, ...], lines: str, n
         for b in batches:
             cols = [b.column(i).to_pylist() for i in range(n + 2)]
             got = [fingerprints(list(row[1:-1]), row[-1]) for row in zip(*cols)]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array([x for x, _ in got], pa.string()), pa.array([y for _, y in got], pa.string())], ["_id", "by_line", "whole"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array([x for x, _ in got], pa.binary()), pa.array([y for _, y in got], pa.binary())], ["_id", "by_line", "whole"])
 
-    printed = cases.mapInArrow(prints, "_id long, by_line string, whole string")
-    keyed = printed.select("_id", F.explode(F.array(F.concat(F.lit("l"), "by_line"), F.concat(F.lit("w"), "whole"))).alias("key"))
+    printed = cut(cases.mapInArrow(prints, "_id long, by_line binary, whole binary"))
+    keyed = printed.select("_id", F.explode(F.array(F.concat(F.lit(b"l"), "by_line"), F.concat(F.lit(b"w"), "whole"))).alias("key"))
     groups = keyed.groupBy("key").agg(F.min("_id").alias("rep"), F.count("*").alias("n")).where("n > 1")
     # (rep, _id) of both fingerprints; mostly the same pairs
     links = keyed.join(groups, "key").where("_id <> rep").groupBy("rep", "_id").agg(F.max("n").alias("n"))
@@ -102,4 +103,18 @@ def copy_groups(df: DataFrame, id_col: str, swap: tuple[str, ...], lines: str, n
 
     order = ["rep", "_id", *[f"_s{i}" for i in range(n)], "_lines", *[f"_t{i}" for i in range(n)], "_tlines"]
     edges = both.select(*order).mapInArrow(verify, "a long, b long")
-    return components(edges).where("node <> component").select(F.col("component").alias("first_id"), F.col("node").alias("copy_id"))
+    found = components(edges).where("node <> component").select(F.col("component").alias("first_id"), F.col("node").alias("copy_id"))
+    free(printed)
+    return found
+
+
+def collapsed(df: DataFrame, id_col: str, swap: tuple[str, ...], lines: str, needed: tuple[str, ...]) -> DataFrame:
+    """(id, copies): one row for each record, that of the least id of its copies, with how many there are, itself included.
+
+    Rows that are no cases stand for themselves. Rows with a NULL id are left out; a repeated id counts once.
+    """
+    groups = cut(copy_groups(df, id_col, swap, lines, needed))
+    ids = df.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+    counts = groups.groupBy(F.col("first_id").alias("id")).agg((F.count("*") + 1).alias("copies"))
+    kept = ids.join(groups.select(F.col("copy_id").alias("id")).hint("merge"), "id", "left_anti")
+    return kept.join(counts.hint("merge"), "id", "left").select("id", F.coalesce("copies", F.lit(1)).cast("long").alias("copies"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.canon import canonical_codes
-from adloom.llm.copies import copy_groups
+from adloom.llm.copies import collapsed, copy_groups
 from adloom.llm.encoding import encode_corpus
 from adloom.llm.langid import Model, fit, language_labels
 from adloom.llm.neardup import version_groups
@@ -55,6 +55,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(ads, "id", ("job_title", "employer"), "responsibilities", ("employer", "responsibilities"))
 
 
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each posting, with its number of copies."""
+    ads = table(spark, sf_dir, "jobads_jp")
+    return collapsed(ads, "id", ("job_title", "employer"), "responsibilities", ("employer", "responsibilities"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = table(spark, sf_dir, "jobads_jp").select("id", "job_title", "employer", "responsibilities")
     return version_groups(ads, "id", "responsibilities", ("job_title", "employer"), ("employer", "responsibilities"))
@@ -79,7 +85,7 @@ def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_labels": p2_labels, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_pieces": p10_pieces}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_labels": p2_labels, "p4_found": p4_found, "p4_records": p4_records, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_pieces": p10_pieces}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from adloom.llm import bpe, canon, langid, packing, pairs
-from adloom.llm.copies import copy_groups, fingerprints, same
+from adloom.llm.copies import collapsed, copy_groups, fingerprints, same
 from adloom.llm.encoding import encode_corpus
 from adloom.llm.neardup import similar_groups, similarity, version_groups
 from adloom.llm.normal import bare
@@ -177,6 +177,8 @@ def test_copies(spark):
     got = {(r.first_id, r.copy_id) for r in copy_groups(df, "id", ("t", "e"), "r", ("e", "r")).collect()}
     assert got == {(1, 2), (1, 3), (1, 4), (7, 8)}  # 4 through 2
     assert copy_groups(df.limit(0), "id", ("t", "e"), "r", ("e", "r")).count() == 0
+    assert {tuple(r) for r in collapsed(df.unionAll(df), "id", ("t", "e"), "r", ("e", "r")).collect()} == {(1, 4), (5, 1), (6, 1), (7, 2)}
+    assert collapsed(df.limit(0), "id", ("t", "e"), "r", ("e", "r")).count() == 0
     assert fingerprints(["a", "b"], "x\ny") == fingerprints(["B", "A"], "x\ny") and not same(["a", "b"], "x\nx", ["a", "b"], "x")
 
 

@@ -21,7 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCALES = {"百": 100, "千": 1000, "万": 10**4, "億": 10**8, "k": 1000, "thousand": 1000, "million": 10**6, "mio": 10**6}
-MONEY = {"JPY": ("円", "yen", "¥", "jpy"), "USD": ("usd", "us$", "$", "dollar", "dollars", "ドル"), "EUR": ("eur", "€", "euro", "euros", "ユーロ")}
+MONEY = {
+    "JPY": ("円", "yen", "¥", "jpy"), "USD": ("usd", "us$", "$", "dollar", "dollars", "ドル"), "EUR": ("eur", "€", "euro", "euros", "ユーロ"),
+    "GBP": ("gbp", "£", "pound", "pounds", "ポンド"), "CNY": ("cny", "rmb", "yuan", "元", "人民元"), "KRW": ("krw", "₩", "won", "원", "ウォン"), "VND": ("vnd", "₫", "dong", "ドン"),
+    "BRL": ("brl", "r$", "reais"), "IDR": ("idr", "rp", "rupiah"), "THB": ("thb", "฿", "baht", "バーツ"), "PHP": ("php", "₱", "pesos"), "INR": ("inr", "₹", "rupees", "ルピー"), "MYR": ("myr", "rm", "ringgit"),
+    "SGD": ("sgd", "s$"), "HKD": ("hkd", "hk$"), "TWD": ("twd", "nt$"), "AUD": ("aud", "a$"), "CAD": ("cad", "c$"), "NZD": ("nzd", "nz$"), "CHF": ("chf", "sfr"), "PLN": ("pln", "zł"), "SEK": ("sek",), "NOK": ("nok",), "DKK": ("dkk",), "MXN": ("mxn", "mx$"),
+}
 #: Words that name the period by themselves.
 PAY = {
     "hour": ("時給", "時間給", "hourly", "時間当たり", "hour rate", "hour wage"),
@@ -42,7 +47,7 @@ BELOW = ("/", "per", "a", "an", "毎", "each", "the", "by", "⁻¹", "^-1")
 RANGE = ("-", "~", "〜", "–", "—", "−", "to", "から", "until", "bis", "‐", "ー")
 #: Cost of a character that fits nothing, and of a root that the field's dimensions don't have.
 UNKNOWN, FOREIGN = 4.0, 3.0
-_FIGURE = re.compile(r"(?<![a-z])\d[\d,]*(?:\.\d+)?|(?<![\d#百千万億])[〇一二三四五六七八九十百千]+(?=[万億円])")
+_FIGURE = re.compile(r"(?<![a-z])\d(?:[\d.,]*\d)?|(?<![\d#百千万億])[〇一二三四五六七八九十百千]+(?=[万億円])")
 _KANJI = {c: i for i, c in enumerate("〇一二三四五六七八九")}
 _TENS = {"十": 10, "百": 100, "千": 1000}
 
@@ -105,6 +110,8 @@ def segment(unit: str, dimensions: frozenset = frozenset({"money", "time"})) ->
             else:
                 j = i + 1
             steps.append((j, "?", None, UNKNOWN))
+        if unit[i] not in _ROOT and unicodedata.category(unit[i]) == "Sc":
+            steps.append((i + 1, "money", unit[i], 0.0))  # a currency, if none that is known
         node, j = _ROOT, i
         if not (unit[i].isascii() and unit[i].isalpha() and i and unit[i - 1].isascii() and unit[i - 1].isalpha()):
             while j < n and unit[j] in node:
@@ -128,9 +135,24 @@ def segment(unit: str, dimensions: frozenset = frozenset({"money", "time"})) ->
     return tuple(reversed(out))
 
 
+def _plain(text: str) -> str:
+    """Digits with a point for the decimal mark. Of a comma and a point the last is the mark; a mark that comes twice parts thousands; a
+    single comma is the mark if other than three digits follow it, a single point always is."""
+    point, comma = text.rfind("."), text.rfind(",")
+    if point >= 0 and comma >= 0:
+        mark = "." if point > comma else ","
+        mark = "" if text.count(mark) > 1 else mark
+    elif comma >= 0:
+        mark = "," if text.count(",") == 1 and len(text) - comma != 4 else ""
+    else:
+        mark = "." if text.count(".") == 1 else ""
+    whole, part = text.rsplit(mark, 1) if mark else (text, "")
+    return re.sub(r"[.,]", "", whole) + (f".{part}" if part else "")
+
+
 def _figure(text: str) -> Fraction:
     if text[0].isdigit() and text[0] not in _KANJI:
-        return Fraction(Decimal(text.replace(",", "")))
+        return Fraction(Decimal(_plain(text)))
     total, digit = 0, None
     for c in text:
         if c in _KANJI:
@@ -155,20 +177,25 @@ def parse(text: str | None) -> Quantity | None:
     if not text:
         return None
     text = unicodedata.normalize("NFKC", text).lower()
-    found = _FIGURE.findall(text)
+    found = list(_FIGURE.finditer(text))
     if not found:
         return None
+    # figures that go on with the one before, as in 3万5千: nothing but its scale stands between
+    joined = [False, *(text[x.end() : y.start()].strip() in SCALES for x, y in zip(found, found[1:]))]
     parts = segment(_FIGURE.sub("#", text))
-    figures = iter(found)
+    figures = iter(zip(found, joined))
     ends: list[list] = [[]]  # of terms [figure, scale or None]
     currency = period = None
+    aside = False  # whether the last figure is one of a remark, such as a number of payments, and not of the amount
     for kind, value in parts:
         if kind == "figure":
-            f = next(figures)
-            ends[-1].append([_figure(f), None])
-        elif kind == "scale" and ends[-1]:
+            f, goes_on = next(figures)
+            aside = bool(ends[-1]) and (aside or not goes_on)
+            if not aside:
+                ends[-1].append([_figure(f[0]), None])
+        elif kind == "scale" and ends[-1] and not aside:
             ends[-1][-1][1] = (ends[-1][-1][1] or 1) * value
-        elif kind == "range" and ends[-1]:
+        elif kind == "range" and ends[-1] and not aside:
             ends.append([])
         elif kind == "money":
             currency = currency or value
@@ -211,7 +238,7 @@ def to_common_unit(df: DataFrame, id_col: str, lower: str, upper: str, kind: str
     units: kind, code, factor (periods in a year, yen for one unit of a currency); sources: source,
     period, scale of bare figures. No shuffle. NULL, blank and figureless amounts, and sources without an
     entry where no period is named, give no row. Half yen round up. Ties and repeated rows are rows of their own, an empty
-    table gives none, other columns don't matter.
+    table gives none, other columns don't matter. An amount in a currency without a factor gives no row; figures of a remark behind the amount don't count.
     """
     factors = {(r["kind"], r["code"]): int(r["factor"]) for r in reference(units.select("kind", "code", "factor"))}
     default = {r["source"]: (r["period"], int(r["scale"])) for r in reference(sources.select("source", "period", "scale"))}

@@ -1,9 +1,9 @@
 """Problem 6: several values packed in one field.
 
 A finite-state tokenizer reads a field from left to right. Its states are: before a value,
-inside a bare value, inside a quoted value (with its closing quote; a backslash or a doubled
+inside a bare value, inside a quoted value or a quoted part of a bare one (with its closing quote; a backslash or a doubled
 quote keeps the state), and its nesting depth. Delimiters count only outside quotes and
-parentheses. Where a field's values may hold a delimiter unquoted, they come from
+parentheses and not after a backslash, which then isn't part of the value. Where a field's values may hold a delimiter unquoted, they come from
 a list of whole values, tried at the start of a value and closed by a delimiter or the end.
 """
 
@@ -39,6 +39,7 @@ class Grammar:
         quotes = re.escape("".join(QUOTES))
         nests = re.escape(OPENING + CLOSING)
         self._special = re.compile(f"[{stops}{quotes}{nests}\\\\{re.escape(self.spaced)}" + (r"\s" if self.whitespace else "") + "]")
+        self._escape = re.compile(rf"\\({self._special.pattern})")
         inner = [w for w in self.whole if self._special.search(w)]
         self._whole = re.compile("(?:" + "|".join(map(re.escape, sorted(inner, key=len, reverse=True))) + rf")(?=\s*(?:[{stops}{re.escape(self.spaced)}\]]|$))", re.I) if inner else None
 
@@ -58,6 +59,7 @@ def tokens(text: str | None, g: Grammar) -> list[str]:
     if len(text) > 1 and text[0] in "[(（" and text[-1] in "])）" and _encloses(text):
         text = text[1:-1]
     out, i, n = [], 0, len(text)
+    closing = max(map(text.rfind, CLOSING))
     while i < n:
         # before a value: skip whitespace, delimiters and list marks
         while i < n and (text[i].isspace() or _separates(text, i, g)):
@@ -82,10 +84,15 @@ def tokens(text: str | None, g: Grammar) -> list[str]:
                 i = k
                 continue
         # a bare value: up to a delimiter outside parentheses and quotes
-        start, depth = i, 0
+        start, depth, escaped = i, 0, False
         while m := g._special.search(text, i):
             c, i = m[0], m.start()
-            if c in OPENING and any(x in text[i:] for x in CLOSING):
+            if c == "\\" and i + 1 < n and g._special.match(text, i + 1):
+                escaped = True
+                i += 1
+            elif c in QUOTES and (i == start or text[i - 1].isspace() or text[i - 1] in OPENING) and (j := _quoted(text, i)[1]) and (j >= n or not text[j].isalnum()):
+                i = j - 1  # a quoted part; an apostrophe or an inch mark stands after a letter or figure
+            elif c in OPENING and i < closing:
                 depth += 1
             elif c in CLOSING:
                 depth = max(0, depth - 1)
@@ -96,7 +103,7 @@ def tokens(text: str | None, g: Grammar) -> list[str]:
             i += 1
         else:
             i = n
-        if value := _trimmed(text[start:i]):
+        if value := _trimmed(g._escape.sub(r"\1", text[start:i]) if escaped else text[start:i]):
             out.append(value)
         i = max(i, start + 1)
     return out

@@ -19,6 +19,18 @@ SOURCES = [("indeed", "year", 1), ("manpoint", "month", 10000)]
         ("USD 12 per hour", (12,), "USD", "hour"),
         ("¥383,000 /mo", (383000,), "JPY", "month"),
         ("2110.0", (2110,), None, None),
+        ("£30 per hour", (30,), "GBP", "hour"),
+        ("GBP 30/h", (30,), "GBP", "hour"),
+        ("CNY 5000 per month", (5000,), "CNY", "month"),
+        ("₪ 90 per hour", (90,), "₪", "hour"),
+        ("月給20万円(賞与年2回)", (200000,), "JPY", "month"),
+        ("月給20万円〜25万円(賞与年2〜3回)", (200000, 250000), "JPY", "month"),
+        ("3万5000円", (35000,), "JPY", None),
+        ("1.234,50 €", ("1234.5",), "EUR", None),
+        ("12,50 € / h", ("12.5",), "EUR", "hour"),
+        ("1,234.50", ("1234.5",), None, None),
+        ("1.234.567", (1234567,), None, None),
+        ("1,200,000", (1200000,), None, None),
     ],
 )
 def test_parse(text, ends, currency, period):
@@ -51,6 +63,7 @@ def test_table(spark):
         (5, "20万円", " 300 ", "月給制", "other", None),
         (6, "100", None, None, "other", None),  # no period known
         (6, "$1.005 an hour", None, None, None, None),
+        (7, "£30 per hour", "₪ 90 per hour", "月給", "indeed", None),  # currencies without a factor
     ]
     assert run(spark, rows) == [(2, "min_amount", 3048000), (3, "max_amount", 2400000), (3, "min_amount", 2160000), (5, "max_amount", 3600), (5, "min_amount", 2400000), (6, "min_amount", 301500)]
     assert run(spark, []) == []

@@ -16,6 +16,10 @@ def test_cases():
     assert tokens("x,,y,", G) == ["x", "y"]
     assert tokens("hand/eye inspection methods / b; invoices, receipts and ledgers", G) == ["hand/eye inspection methods", "b", "invoices, receipts and ledgers"]
     assert tokens("S1.1 S2.2\tL3/T1", code_grammar()) == ["S1.1", "S2.2", "L3", "T1"]
+    assert tokens('python "a, b" dev, c', G) == ['python "a, b" dev', "c"]
+    assert tokens(r"a\, b, c", G) == ["a, b", "c"] and tokens(r"C:\x, d", G) == [r"C:\x", "d"]
+    assert tokens("driver's licence, 5\" tools, o'clock", G) == ["driver's licence", '5" tools', "o'clock"]
+    assert tokens("(" * 20_000 + "a, b", G) == ["(" * 20_000 + "a", "b"]
     for empty in (None, "", "  ", "[]", ",;"):
         assert tokens(empty, G) == []
 

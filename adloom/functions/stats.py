@@ -28,6 +28,13 @@ def share(df: DataFrame, keys: list[str], n: str, out: str = "share") -> DataFra
     return df.withColumn(out, F.try_divide(F.col(n).cast("double"), F.sum(n).over(Window.partitionBy(*keys))))
 
 
+def share_map(df: DataFrame, keys: list[str], item: str, n: str, out: str = "shares") -> DataFrame:
+    """One row a group with a map of each item's part of the total; an empty map where the total is 0."""
+    x = df.groupBy(*keys).agg(F.collect_list(F.struct(F.col(item).alias("k"), F.col(n).cast("double").alias("v"))).alias("_e"), F.sum(n).alias("_t"))
+    made = F.map_from_entries(F.transform("_e", lambda e: F.struct(e["k"], F.try_divide(e["v"], F.col("_t")))))
+    return x.select(*keys, F.when(F.col("_t") > 0, made).otherwise(F.map_from_entries(F.slice(F.transform("_e", lambda e: F.struct(e["k"], e["v"])), 1, 0))).alias(out))
+
+
 def chi_square(counts: DataFrame, row: str, col: str, n: str) -> DataFrame:
     """One row (chi2, df, n, v) of a contingency table given as cells; cells that aren't there are 0."""
     cells = counts.groupBy(row, col).agg(F.sum(n).cast("double").alias("o"))

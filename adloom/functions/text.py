@@ -126,6 +126,28 @@ def table_name(c: Column) -> Column:
     return F.when(c.startswith("jobads_"), c).otherwise(F.concat(F.lit("jobads_"), F.when(x == "", F.lit("table")).otherwise(x)))
 
 
+def prefixed_table(c: Column, iso: Column | None = None) -> Column:
+    """The name with the prefix, and with a country's code where there is one."""
+    code = F.lit("") if iso is None else F.when(iso.isNull(), F.lit("")).otherwise(F.concat(iso, F.lit("_")))
+    return F.concat(F.lit("jobads_"), code, c)
+
+
+def between_affixes(c: Column, prefix: str, suffix: str) -> Column:
+    """A name without its prefix and suffix."""
+    return F.regexp_replace(F.regexp_replace(c, f"^{prefix}", ""), f"{suffix}$", "")
+
+
+def second_part(c: Column) -> Column:
+    """The part behind the first underscore, up to the next, in upper case."""
+    return F.upper(F.try_element_at(F.split(c, "_"), F.lit(2)))
+
+
+def output_name(c: Column, ending: str, by: str) -> Column:
+    """The name of a step's output: the file's ending is replaced, or added if it isn't there."""
+    stem = F.regexp_replace(c, r"\.jsonl$", "")
+    return F.concat(F.regexp_replace(stem, f"{ending}$", ""), F.lit(f"{by}.jsonl"))
+
+
 #: How sentences are told apart.
 SENTENCE_BREAK = r'(?<=[.!?])\s+(?=[A-Z0-9("])'
 

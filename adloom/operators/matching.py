@@ -134,6 +134,31 @@ def nearest(queries: DataFrame, base: DataFrame, id_col: str, vector: str, k: in
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def best_entry(queries: DataFrame, entries: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """(query, entry, score): the entry with the largest dot product of each query, ties by id. The entries are a checked, small list in every task; queries are read in batches, without a shuffle."""
+    rows = _bounded(entries, [id_col, vector])
+    order = sorted(range(len(rows)), key=lambda k: rows[k][0])
+    ids = np.array([rows[k][0] for k in order], np.int64)
+    matrix = np.array([rows[k][1] for k in order], np.float64) if rows else np.zeros((0, 1))
+    shared = queries.sparkSession.sparkContext.broadcast((ids, matrix))
+
+    def find(batches):
+        i, m = shared.value
+        for b in batches:
+            if not len(b) or not len(i):
+                continue
+            s = np.stack(b[vector].to_numpy()).astype(np.float64) @ m.T
+            at = s.argmax(1)
+            yield pd.DataFrame({"query": b[id_col], "entry": i[at], "score": s[np.arange(len(at)), at]})
+
+    return queries.select(id_col, vector).mapInPandas(find, "query long, entry long, score double")
+
+
+def effective_threshold(threshold: float, redundancy_filter: bool, default: float = 0.48, unfiltered: float = 0.53) -> float:
+    """The threshold asked for; where it was left at its default and redundant matches aren't filtered, the higher one."""
+    return unfiltered if not redundancy_filter and threshold == default else threshold
+
+
 def attention(tokens: DataFrame, skills: DataFrame, sentence: str, token: str, vector: str, skill: str, skill_vector: str, threshold: float = 0.48) -> DataFrame:
     """(sentence, skill, score): the softmax over a sentence's tokens of their dot products with a skill weighs their cosines with it.
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adloom.functions.text import parsed_task
 from adloom.operators.upsert import fill_blanks
+from adloom.sources.tables import exists
 
 
 def within_budget(text: Column, tokens: Callable[[str], list], join: Callable[[list], str], budget: int) -> Column:
@@ -23,6 +25,35 @@ def within_budget(text: Column, tokens: Callable[[str], list], join: Callable[[l
     return F.when(F.length(text) <= budget // 3, text).otherwise(shorten(text))
 
 
+def token_budget(model: int, new: int, prompt: int, spare: int) -> int:
+    """Tokens of a text that fit into a model beside its answer, the prompt and some to spare."""
+    return max(0, model - new - prompt - spare)
+
+
+def generate(df: DataFrame, text: str, load: Callable[[], Callable[[list[str]], list[str]]], out: str = "answer", batch: int = 256) -> DataFrame:
+    """df with the answer of a model to each text. load gives a function from prompts to answers and is called once a task; NULL texts aren't sent and have no answer."""
+
+    @F.pandas_udf("string")
+    def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for b in batches:
+            sent = b.dropna()
+            said: list[str] = []
+            for k in range(0, len(sent), batch):
+                said += model(sent.iloc[k : k + batch].tolist())
+            yield pd.Series(said, sent.index, dtype=object).reindex(b.index)
+
+    return df.withColumn(out, answer(F.col(text)))
+
+
+def cached(spark: SparkSession, path: str, model: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What make gives, kept for one model: read again as long as the model is the same, made anew for another."""
+    place = f"{path}/model={hashlib.sha256(model.encode()).hexdigest()[:24]}"
+    if not exists(spark, f"{place}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(place)
+    return spark.read.parquet(place)
+
+
 def classify(sentences: DataFrame, text: str, load: Callable[[], Callable[[list[str]], np.ndarray]], threshold: float = 0.5) -> DataFrame:
     """sentences with the score of a model that is loaded once a worker, and those at or above the threshold only. load gives
     a function from texts to scores of class 1."""

@@ -35,11 +35,12 @@ def insert_absent(target: DataFrame, batch: DataFrame, key: str, order: Column |
     return one_per_key(new, [key], order, last=False) if order is not None else new
 
 
-def fill_blanks(target: DataFrame, values: DataFrame, key: str, column: str, value: str, order: Column, last: bool = False) -> DataFrame:
-    """Target with blank cells of `column` filled from the first (or last) non-blank, stripped value of the row's key."""
+def fill_blanks(target: DataFrame, values: DataFrame, key: str, column: str, value: str, order: Column, last: bool = False, flag: str | None = None) -> DataFrame:
+    """Target with blank cells of `column` filled from the first (or last) non-blank, stripped value of the row's key; flag: a column that becomes 0 where a cell was filled."""
     v = values.where(F.col(key).isNotNull()).select(key, strip(F.col(value)).alias("_v"), order.alias("_when")).where(F.col("_v") != "")
     v = one_per_key(v, [key], F.col("_when"), last).select(key, "_v")
-    return target.join(v, key, "left").select(*[F.when(is_blank(F.col(column)), F.coalesce("_v", column)).otherwise(F.col(column)).alias(column) if c == column else F.col(c) for c in target.columns])
+    hit = is_blank(F.col(column)) & F.col("_v").isNotNull()
+    return target.join(v, key, "left").select(*[F.when(hit, F.col("_v")).otherwise(F.col(c)).alias(c) if c == column else F.when(hit, F.lit(0)).otherwise(F.col(c)).alias(c) if c == flag else F.col(c) for c in target.columns])
 
 
 def reset(target: DataFrame, done: DataFrame, key: str, column: str, flag: str) -> DataFrame:
@@ -53,6 +54,21 @@ def with_columns_if_missing(df: DataFrame, columns: list[str], kind: str = "stri
     return df.select("*", *[F.lit(None).cast(kind).alias(c) for c in columns if c not in df.columns])
 
 
+def project(df: DataFrame, columns: list[str], kind: str = "string") -> DataFrame:
+    """Fixed columns in a fixed order, NULL where df has none."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(kind).alias(c) for c in columns])
+
+
+def lacking_columns(a: DataFrame, b: DataFrame) -> list[str]:
+    """Columns of a that b hasn't."""
+    return [c for c in a.columns if c not in b.columns]
+
+
+def without_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df without those of the columns that it has."""
+    return df.drop(*columns)
+
+
 def shared_columns(a: DataFrame, b: DataFrame, without: tuple[str, ...] = ("id",)) -> list[str]:
     return [c for c in a.columns if c in b.columns and c not in without]
 

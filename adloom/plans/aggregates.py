@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from adloom.functions import stats
 from adloom.functions.text import day, knowledge_branch, label_key, skill_branch
 from adloom.operators.keyness import keyness
+from adloom.operators.ranks import numbered
 from adloom.operators.upsert import top_per_group
 from adloom.plans.catalog import query
 
 SRC = "coalesce(source, 'indeed')"
+DAY = "coalesce(" + ", ".join(f"try_strptime({{0}}, '{f}')" for f in ("%Y-%m-%d", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d", "%d.%m.%Y")) + ")"
 MENTIONS = "(SELECT id, unnest(skills) AS m FROM (SELECT DISTINCT id, skills FROM jp_mentions))"
 
 
@@ -109,7 +111,7 @@ def months(t):
     return t.jobads_jp.where("collected_at is not null").groupBy(F.date_format("collected_at", "yyyy-MM").alias("month"), F.coalesce("source", F.lit("indeed")).alias("source")).agg(F.count("*").alias("n"))
 
 
-@query("agg12_months_posted", "SELECT strftime(d, '%Y-%m') AS month, count(*) AS n FROM (SELECT try_cast(date_posted AS DATE) AS d FROM jobads_jp WHERE regexp_full_match(date_posted, '[0-9]{4}-[0-9]{2}-[0-9]{2}')) WHERE d IS NOT NULL GROUP BY 1")
+@query("agg12_months_posted", f"SELECT strftime(d, '%Y-%m') AS month, count(*) AS n FROM (SELECT {DAY.format('trim(date_posted)')} AS d FROM jobads_jp) WHERE d IS NOT NULL GROUP BY 1")
 def months_posted(t):
     return t.jobads_jp.select(day(F.col("date_posted")).alias("d")).where("d is not null").groupBy(F.date_format("d", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
 
@@ -144,10 +146,10 @@ def totals(t):
     return x.withColumn("percent", F.round(100.0 * F.col("filled") / F.col("n"), 2).cast("decimal(18,2)"))
 
 
-@query("agg18_best_skills", f"SELECT id, uri, CAST(round(score, 4) AS DECIMAL(18,4)) AS score FROM (SELECT id, m.uri AS uri, max(m.score) AS score, row_number() OVER (PARTITION BY id ORDER BY max(m.score) DESC NULLS LAST, m.uri) AS r FROM {MENTIONS} GROUP BY id, m.uri) WHERE r <= 3")
+@query("agg18_best_skills", f"SELECT id, uri, CAST(round(score, 4) AS DECIMAL(18,4)) AS score FROM (SELECT id, m.uri AS uri, max(m.score) AS score, row_number() OVER (PARTITION BY id ORDER BY max(m.score) DESC NULLS LAST, m.uri) AS r FROM {MENTIONS} GROUP BY id, m.uri) WHERE r <= 50")
 def best_skills(t):
     best = mentions(t).groupBy("id", "uri").agg(F.max("score").alias("score"))
-    return top_per_group(best, ["id"], [F.col("score").desc_nulls_last(), F.col("uri").asc_nulls_last()], 3).select("id", "uri", F.round("score", 4).cast("decimal(18,4)").alias("score"))
+    return top_per_group(best, ["id"], [F.col("score").desc_nulls_last(), F.col("uri").asc_nulls_last()], 50).select("id", "uri", F.round("score", 4).cast("decimal(18,4)").alias("score"))
 
 
 @query("agg21_threshold_histogram", f"SELECT CAST(x / 10.0 AS DECIMAL(3,1)) AS threshold, count(*) FILTER (WHERE m.score >= x / 10.0::DOUBLE) AS n FROM range(3, 10) r(x), {MENTIONS} GROUP BY x")
@@ -239,10 +241,10 @@ def nulls_last(t):
     return x.select("id", F.row_number().over(Window.orderBy(F.col("skill_match").desc_nulls_last(), "id")).cast("long").alias("place"))
 
 
-@query("srt06_by_length", "SELECT id, CAST(length(responsibilities) AS BIGINT) AS n FROM jobads_jp WHERE responsibilities IS NOT NULL")
+@query("srt06_by_length", "SELECT id, CAST(row_number() OVER (ORDER BY coalesce(source, ''), length(responsibilities), id) AS BIGINT) AS place FROM jobads_jp WHERE responsibilities IS NOT NULL")
 def by_length(t):
-    x = t.jobads_jp.where("responsibilities is not null").select("id", F.coalesce("source", F.lit("")).alias("s"), F.length("responsibilities").cast("long").alias("n"))
-    return x.repartition("s").sortWithinPartitions("s", "n").select("id", "n")
+    x = t.jobads_jp.where("responsibilities is not null").select("id", F.coalesce("source", F.lit("")).alias("s"), F.length("responsibilities").alias("n"))
+    return numbered(x, [], ["s", "n", "id"]).select("id", "place")
 
 
 @query("top01_most_common", "SELECT employer, count(*) AS n FROM jobads_jp WHERE employer IS NOT NULL GROUP BY 1 ORDER BY n DESC, employer LIMIT 30")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions.text import filled, is_blank, table_name, url_domain
 from adloom.operators import upsert
+from adloom.operators.ranks import numbered
 from adloom.plans.catalog import query
 from adloom.sources.files import in_year
 
@@ -54,15 +55,8 @@ def rename_tables(t):
 
 @query("snk13_request_files", "SELECT id, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 1000) AS BIGINT) AS file_no FROM jobads_jp WHERE needs_description_translation = 1")
 def request_files(t):
-    # numbers within ranges of ids, then offsets of the few ranges: no global window over the rows
-    x = t.jobads_jp.where("needs_description_translation = 1").select("id").repartitionByRange(8, "id").sortWithinPartitions("id")
-    from pyspark.sql import Window
-
-    y = x.withColumn("p", F.spark_partition_id())
-    sizes = y.groupBy("p").agg(F.count("*").alias("n"))
-    start = sizes.select("p", (F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("s"))
-    z = y.withColumn("r", F.row_number().over(Window.partitionBy("p").orderBy("id"))).join(F.broadcast(start), "p")
-    return z.select("id", F.floor((F.col("s") + F.col("r") - 1) / 1000).cast("long").alias("file_no"))
+    x = numbered(t.jobads_jp.where("needs_description_translation = 1").select("id"), [], ["id"])
+    return x.select("id", F.floor((F.col("place") - 1) / 1000).cast("long").alias("file_no"))
 
 
 @query("snk14_fill_source", "SELECT id, coalesce(source, 'indeed') AS source FROM jobads_jp")
@@ -151,17 +145,23 @@ def update_from(t):
     return upsert.update_from(target, t.offers, ["job_url"], ["job_title_english", "region_iso"], F.expr(ORD)).drop("job_url")
 
 
-@query("joi02_update_coverage", "SELECT (SELECT count(DISTINCT o.job_url) FROM offers o WHERE o.job_url IN (SELECT job_url FROM jobads_jp)) AS source_rows, (SELECT count(*) FROM jobads_jp WHERE job_url IN (SELECT job_url FROM offers)) AS target_rows, (SELECT count(*) FROM jobads_jp WHERE job_url IS NOT NULL) AS total")
+@query("joi02_update_coverage", "SELECT (SELECT count(*) FROM offers o WHERE o.job_url IN (SELECT job_url FROM jobads_jp WHERE job_url IS NOT NULL)) AS source_rows, (SELECT count(*) FROM jobads_jp WHERE job_url IN (SELECT job_url FROM offers WHERE job_url IS NOT NULL)) AS target_rows, (SELECT count(*) FROM jobads_jp WHERE job_url IS NOT NULL) AS total, (SELECT CAST(round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM jobads_jp), 2) AS DECIMAL(18,2)) FROM offers o WHERE o.job_url IN (SELECT job_url FROM jobads_jp WHERE job_url IS NOT NULL)) AS coverage")
 def update_coverage(t):
-    ads, urls = t.jobads_jp.where("job_url is not null"), t.offers.where("job_url is not null").select("job_url").distinct()
-    per_url = ads.groupBy("job_url").agg(F.count("*").alias("n")).join(urls.withColumn("hit", F.lit(1)), "job_url", "left")
-    return per_url.agg(F.count("hit").alias("source_rows"), F.coalesce(F.sum(F.when(F.col("hit") == 1, F.col("n"))), F.lit(0)).alias("target_rows"), F.sum("n").alias("total"))
+    per = lambda df, n: df.where("job_url is not null").groupBy("job_url").agg(F.count("*").alias(n))
+    x = per(t.jobads_jp, "a").join(per(t.offers, "o"), "job_url", "left")
+    n = t.jobads_jp.agg(F.count("*").alias("n"))
+    sums = x.agg(F.coalesce(F.sum("o"), F.lit(0)).alias("source_rows"), F.coalesce(F.sum(F.when(F.col("o").isNotNull(), F.col("a"))), F.lit(0)).alias("target_rows"), F.coalesce(F.sum("a"), F.lit(0)).alias("total"))
+    # source rows that match, each counted, so the coverage of a source with repeats may be above 100
+    return sums.crossJoin(n).select("source_rows", "target_rows", "total", F.round(F.try_divide(100.0 * F.col("source_rows"), F.col("n")), 2).cast("decimal(18,2)").alias("coverage"))
 
 
-@query("joi03_update_by_id", "WITH s AS (SELECT id AS k, len(max_by(skills, len(skills))) AS n FROM jp_mentions GROUP BY id) SELECT id, n IS NOT NULL AS has_mentions, CAST(n AS BIGINT) AS mentions FROM jobads_jp LEFT JOIN s ON id = k")
+@query("joi03_update_by_id", "WITH s AS (SELECT id AS k, max(array_to_string([m.label FOR m IN skills], '|')) AS x FROM jp_mentions GROUP BY id) SELECT id, CASE WHEN k IS NOT NULL THEN x ELSE skills END AS skills, isic_section, k IS NOT NULL AS matched FROM jobads_jp LEFT JOIN s ON id = k")
 def update_by_id(t):
-    s = t.jp_mentions.groupBy("id").agg(F.max(F.size("skills")).cast("long").alias("mentions"))
-    return t.jobads_jp.select("id").join(s, "id", "left").select("id", F.col("mentions").isNotNull().alias("has_mentions"), "mentions")
+    labels = F.array_join(F.transform("skills", lambda m: m["label"]), "|")
+    source = t.jp_mentions.select("id", labels.alias("skills"))
+    target = t.jobads_jp.select("id", "skills", "isic_section")
+    wanted = [c for c in ("skills", "isic_section", "company_founded") if c in upsert.shared_columns(target, source)]
+    return upsert.update_from(target, source, ["id"], wanted, F.col("skills"))
 
 
 @query("joi04_insert_absent", "SELECT job_url, title_lang, region_iso FROM offers WHERE job_url <> '' AND job_url NOT IN (SELECT job_url FROM jobads_jp WHERE job_url IS NOT NULL)")

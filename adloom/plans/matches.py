@@ -55,8 +55,10 @@ def longest_contained(t):
 
 @query("joi17_fuzzy")
 def fuzzy(t):
-    left = matching.exact_steps(terms(t).where("n >= 3"), t.esco_concepts, "term", "title", "code").where("step is null").select("term")
-    return matching.fuzzy(left, t.esco_concepts, "term", "title", "code")
+    left = matching.exact_steps(terms(t), t.esco_concepts, "term", "title", "code").where("step is null")
+    # the most frequent of what no cheaper step found
+    asked = left.where("n >= 3").orderBy(F.desc("n"), "term").limit(15_000).select("term")
+    return matching.fuzzy(asked, t.esco_concepts, "term", "title", "code")
 
 
 @query("joi18_nearest", "WITH s AS (SELECT q.vec_id AS query, b.vec_id AS neighbour, list_dot_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 20 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, neighbour) AS rank FROM s) SELECT query, neighbour, CAST(round(score, 4) AS DECIMAL(18,4)) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 2")
@@ -65,10 +67,10 @@ def nearest(t):
     return x.select("query", "neighbour", F.round("score", 4).cast("decimal(18,4)").alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
-_ATT = "WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS z FROM embeddings WHERE vec_id < 100), k AS (SELECT CAST(floor(vec_id / 10) AS BIGINT) AS sentence, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id >= 100), d AS (SELECT sentence, s.vec_id AS skill, list_dot_product(x, z) AS dot, list_cosine_similarity(x, z) AS c FROM k, s), w AS (SELECT *, exp(dot - max(dot) OVER (PARTITION BY sentence, skill)) AS e FROM d) SELECT sentence, skill, CAST(round(sum(e * c) / sum(e), 4) AS DECIMAL(18,4)) AS score FROM w GROUP BY 1, 2 HAVING sum(e * c) / sum(e) >= 0.1"
+ATTENTION = "WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS z FROM embeddings WHERE vec_id < 100), k AS (SELECT CAST(floor(vec_id / 10) AS BIGINT) AS sentence, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id >= 100), d AS (SELECT sentence, s.vec_id AS skill, list_dot_product(x, z) AS dot, list_cosine_similarity(x, z) AS c FROM k, s), w AS (SELECT *, exp(dot - max(dot) OVER (PARTITION BY sentence, skill)) AS e FROM d) SELECT sentence, skill, CAST(round(sum(e * c) / sum(e), 4) AS DECIMAL(18,4)) AS score FROM w GROUP BY 1, 2 HAVING sum(e * c) / sum(e) >= {0}"
 
 
-@query("joi19_token_attention", _ATT)
+@query("joi19_token_attention", ATTENTION.format(0.1))
 def token_attention(t):
     e = t.embeddings
     tokens = e.where("vec_id >= 100").select(F.floor(F.col("vec_id") / 10).alias("sentence"), "vec_id", "embedding")

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from adloom.functions import stats
 from adloom.functions import text as T
-from adloom.operators import pipeline
+from adloom.operators import matching, pipeline
+from adloom.operators.ranks import numbered
 from adloom.operators.sentences import split_ads
 from adloom.operators.upsert import fill_blanks
 from adloom.plans.aggregates import MENTIONS, SRC, by_source, mentions
 from adloom.plans.catalog import query
+from adloom.plans.matches import ATTENTION
+from adloom.plans.texts import WS
 
 
 
@@ -30,16 +33,26 @@ def threshold(t):
     return mentions(t).where(F.coalesce("score", F.lit(0.0)) >= 0.55).select("id", "uri")
 
 
-@query("joi07_apply_checkpoint", "WITH v AS (SELECT id AS k, max(title_value) AS x FROM (SELECT id, nullif(regexp_replace(job_title, '^[\\s\\x{A0}\\x{3000}]+|[\\s\\x{A0}\\x{3000}]+$', '', 'g'), '') AS title_value FROM jobads_jp) GROUP BY id) SELECT id, CASE WHEN job_title_english IS NULL OR trim(job_title_english, ' ') = '' THEN coalesce(x, job_title_english) ELSE job_title_english END AS job_title_english FROM jobads_jp LEFT JOIN v ON k = id WHERE job_title = trim(job_title, ' ')")
+STRIPPED = "nullif(regexp_replace({0}, '^[\\s\\x{{A0}}\\x{{3000}}]+|[\\s\\x{{A0}}\\x{{3000}}]+$', '', 'g'), '')"
+BLANK = "({0} IS NULL OR trim({0}, ' ') = '')"
+
+
+@query("joi07_apply_checkpoint", f"WITH c AS (SELECT id AS k, employer AS v, 1 AS ord FROM jobads_jp UNION ALL SELECT id, job_title, 2 FROM jobads_jp WHERE job_title_lang IS NOT NULL), v AS (SELECT k, arg_max({STRIPPED.format('v')}, ord) FILTER (WHERE {STRIPPED.format('v')} IS NOT NULL) AS x FROM c GROUP BY k HAVING x IS NOT NULL) SELECT id, CASE WHEN {BLANK.format('job_title_english')} AND x IS NOT NULL THEN x ELSE job_title_english END AS job_title_english, CASE WHEN {BLANK.format('job_title_english')} AND x IS NOT NULL THEN 0 ELSE needs_title_translation END AS needs_title_translation FROM jobads_jp LEFT JOIN v ON k = id")
 def apply_checkpoint(t):
-    values = t.jobads_jp.select("id", T.strip(F.col("job_title")).alias("value"))
-    return fill_blanks(t.jobads_jp.select("id", "job_title_english"), values, "id", "job_title_english", "value", F.col("value"), last=True)
+    # a log in which most ids come twice
+    early = t.jobads_jp.select("id", F.col("employer").alias("value"), F.lit(1).alias("ord"))
+    late = t.jobads_jp.where("job_title_lang is not null").select("id", F.col("job_title").alias("value"), F.lit(2).alias("ord"))
+    return fill_blanks(t.jobads_jp.select("id", "job_title_english", "needs_title_translation"), early.unionAll(late), "id", "job_title_english", "value", F.col("ord"), last=True, flag="needs_title_translation")
 
 
-@query("joi09_batch_results", "SELECT id, CASE WHEN job_title_english IS NULL OR trim(job_title_english, ' ') = '' THEN 'title ' || id ELSE job_title_english END AS job_title_english FROM jobads_jp")
+@query("joi09_batch_results", f"WITH c AS (SELECT id AS k, employer AS v, 1 AS ord FROM jobads_jp UNION ALL SELECT id, job_title, 2 FROM jobads_jp WHERE source IS NOT NULL), v AS (SELECT k, arg_max({STRIPPED.format('v')}, ord) FILTER (WHERE {STRIPPED.format('v')} IS NOT NULL) AS x FROM c GROUP BY k) SELECT id, CASE WHEN {BLANK.format('job_title_english')} THEN coalesce(x, job_title_english) ELSE job_title_english END AS job_title_english FROM jobads_jp LEFT JOIN v ON k = id")
 def batch_results(t):
-    made = t.jobads_jp.select(F.explode(F.array(F.concat(F.lit("jobads_jp:"), F.col("id"), F.lit(":title")), F.concat(F.lit("bad:"), F.col("id")))).alias("custom_id"), F.concat(F.lit(" title "), F.col("id"), F.lit(" ")).alias("value"), F.lit(1).alias("ord"))
-    return pipeline.apply_batch_results(t.jobads_jp.select("id", "job_title_english"), made, {"title": "job_title_english"})
+    # an ad's results come in two files, the later only with a source, and each row also under ids that are ill-formed
+    ads = t.jobads_jp
+    well = lambda a, field: F.concat_ws(":", F.lit(a), F.col("id").cast("string"), F.lit(field))
+    early = ads.select(F.explode(F.array(well("jobads_jp", "title"), well("jobads_jp:x", "title"), F.concat(F.lit("bad:"), F.col("id")))).alias("custom_id"), F.col("employer").alias("value"), F.lit(1).alias("ord"))
+    late = ads.where("source is not null").select(F.explode(F.array(well("jobads_jp", "title"), F.lit("jobads_jp:x1:title"))).alias("custom_id"), F.col("job_title").alias("value"), F.lit(2).alias("ord"))
+    return pipeline.apply_batch_results(ads.select("id", "job_title_english"), early.unionAll(late), {"title": "job_title_english"})
 
 
 @query("agg10_residual", f"WITH x AS (SELECT {SRC} AS source, CASE WHEN starts_with(code, 'S') THEN substr(code, 1, 2) END AS category FROM jobads_jp JOIN {MENTIONS} USING (id) LEFT JOIN esco_concepts c ON c.uri = m.uri) SELECT source, coalesce(category, 'Other') AS category, count(*) AS n FROM x GROUP BY ALL")
@@ -48,7 +61,7 @@ def residual(t):
     return by_source(t).join(c, "uri", "left").groupBy("source", F.coalesce("category", F.lit("Other")).alias("category")).agg(F.count("*").alias("n"))
 
 
-@query("agg14_table_statistics", "SELECT 'jobads_jp' AS name, count(*) AS n, CAST(31 AS BIGINT) AS columns FROM jobads_jp UNION ALL SELECT 'offers', count(*), 15 FROM offers")
+@query("agg14_table_statistics", "SELECT 'jobads_jp' AS name, count(*) AS n, (SELECT count(*) FROM (DESCRIBE SELECT * FROM jobads_jp)) AS columns FROM jobads_jp UNION ALL SELECT 'offers', count(*), (SELECT count(*) FROM (DESCRIBE SELECT * FROM offers)) FROM offers")
 def table_statistics(t):
     of = lambda name, df: df.agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.lit(len(df.columns)).cast("long").alias("columns"))
     return of("jobads_jp", t.jobads_jp).unionAll(of("offers", t.offers))
@@ -121,8 +134,8 @@ def softmax(t):
 
 @query("win08_chunks", "SELECT coalesce(source, 'indeed') AS source, CAST(floor((row_number() OVER (PARTITION BY coalesce(source, 'indeed') ORDER BY id) - 1) / 100) AS BIGINT) AS chunk, id FROM jobads_jp")
 def chunks(t):
-    r = F.row_number().over(Window.partitionBy(F.coalesce("source", F.lit("indeed"))).orderBy("id"))
-    return t.jobads_jp.select(source(), F.floor((r - 1) / 100).cast("long").alias("chunk"), "id")
+    x = numbered(t.jobads_jp.select(source(), "id"), ["source"], ["id"])
+    return x.select("source", F.floor((F.col("place") - 1) / 100).cast("long").alias("chunk"), "id")
 
 
 @query("win09_rank", f"SELECT source, section, CAST(row_number() OVER (PARTITION BY source ORDER BY n DESC, section) AS BIGINT) AS rank FROM (SELECT {SRC} AS source, isic_section AS section, count(*) AS n FROM jobads_jp WHERE isic_section IS NOT NULL GROUP BY ALL)")
@@ -149,25 +162,35 @@ def by_mean(t):
     return n.groupBy("section").agg(F.avg("n").alias("m")).orderBy(F.desc("m")).select("section", F.round("m", 4).cast("decimal(18,4)").alias("mean"))
 
 
-@query("str16_column_search", "SELECT * FROM (VALUES ('job_url'), ('company_num_employees')) v(name)")
+@query("str16_column_search", "SELECT column_name AS name FROM (DESCRIBE SELECT * FROM jobads_jp) WHERE replace(lower(column_name), '_', '') IN ('joburl', 'companynumemployees') OR contains(lower(column_name), 'url')")
 def column_search(t):
     wanted = {"joburl", "companynumemployees"}
     names = [c for c in t.jobads_jp.columns if c.replace("_", "").lower() in wanted or "url" in c.lower()]
     return t.spark.createDataFrame([(c,) for c in names], "name string")
 
 
-@query("arr03_regroup", "SELECT id, array_to_string(list(m.label ORDER BY p), '|') AS labels FROM (SELECT id, unnest(s) AS m, unnest(range(len(s))) AS p FROM (SELECT id, arg_max(skills, (len(skills), md5(skills::VARCHAR))) AS s FROM jp_mentions GROUP BY id)) GROUP BY id".replace("arg_max(skills, (len(skills), md5(skills::VARCHAR)))", "any_value(skills)").replace("GROUP BY id)) GROUP BY id", "GROUP BY id HAVING count(*) = 1)) GROUP BY id"))
+@query("arr03_regroup", "WITH s AS (SELECT id, flatten(list_sort(list(DISTINCT skills))) AS s FROM jp_mentions GROUP BY id), m AS (SELECT id, unnest(s) AS m, unnest(range(len(s))) AS p FROM s) SELECT id, array_to_string(list(m.label ORDER BY p), '|') AS labels FROM m GROUP BY id")
 def regroup(t):
     once = t.jp_mentions.groupBy("id").agg(F.flatten(F.array_sort(F.collect_set("skills"))).alias("skills"))  # a repeated row counts once
     flat = once.select("id", F.posexplode("skills").alias("pos", "m"))
     return flat.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col("m.label").alias("label")))), lambda x: x["label"]), "|").alias("labels"))
 
 
-@query("jsn03_first_text", "SELECT id, job_title AS text, job_title AS strict FROM jobads_jp WHERE job_title <> ''")
+def _responses(t):
+    """A response for each ad: an output whose text may be empty, one without text, and one with the title."""
+    text = lambda c: F.array(F.struct(c.alias("text")))
+    out = F.array(F.struct(text(F.coalesce("job_title_english", F.lit(""))).alias("content")), F.struct(text(F.lit(None).cast("string")).alias("content")), F.struct(text(F.col("job_title")).alias("content")))
+    return t.jobads_jp.select("id", F.to_json(F.struct(out.alias("output"))).alias("response"))
+
+
+@query("jsn03_first_text", "SELECT id, coalesce(nullif(job_title_english, ''), nullif(job_title, '')) AS text FROM jobads_jp")
 def first_text(t):
-    made = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.col("job_title").alias("text")), F.struct(F.lit("later").alias("text"))).alias("content"))).alias("output")))
-    x = t.jobads_jp.where("job_title <> ''").select("id", made.alias("response"))
-    return x.select("id", pipeline.first_text(F.col("response")).alias("text"), pipeline.first_text(F.col("response"), strict=True).alias("strict"))
+    return _responses(t).select("id", pipeline.first_text(F.col("response")).alias("text"))
+
+
+@query("jsn04_first_content", "SELECT id, coalesce(job_title_english, '') AS text FROM jobads_jp")
+def first_content(t):
+    return _responses(t).select("id", pipeline.first_text(F.col("response"), strict=True).alias("text"))
 
 
 @query("jsn06_last_result", "SELECT job_url, max(id) AS id FROM jobads_jp WHERE job_url IS NOT NULL GROUP BY job_url")
@@ -175,18 +198,21 @@ def last_result(t):
     return t.jobads_jp.where("job_url is not null").groupBy("job_url").agg(F.max_by("id", "id").alias("id"))
 
 
-@query("txt08_token_budget", "SELECT id, array_to_string(list_slice(regexp_extract_all(description_english, '[^ ]+'), 1, 40), ' ') AS head FROM jobads_jp WHERE description_english IS NOT NULL AND length(description_english) > 13")
+@query("txt08_token_budget", "SELECT id, array_to_string(list_slice(regexp_extract_all(description_english, '[^ ]+'), 1, 40), ' ') AS head FROM jobads_jp WHERE description_english IS NOT NULL")
 def token_budget(t):
-    x = t.jobads_jp.where("description_english is not null and length(description_english) > 13")
+    x = t.jobads_jp.where("description_english is not null")
     head = pipeline.within_budget(F.col("description_english"), lambda s: [w for w in s.split(" ") if w], " ".join, 40)
     # the shortening keeps short texts as they are, so whitespace is made equal afterwards
     return x.select("id", F.array_join(F.filter(F.split(head, " "), lambda w: w != ""), " ").alias("head"))
 
 
-@query("txt10_clean_titles")
+TITLES = (r"\([^)]*\)|\[[^\]]*\]|\*[^*]*\*|\s[|/#].*$|\s-\s.*$|\s+in\s+\S+$", r"^\s*(senior|sr\.?|junior|lead|experienced|night shift|immediate start:)\s+")
+
+
+@query("txt10_clean_titles", f"SELECT id, trim(regexp_replace(coalesce(regexp_replace(regexp_replace(job_title_english, '{TITLES[0]}', '', 'g'), '{TITLES[1]}', '', 'i'), ''), '{WS}', ' ', 'g'), ' ') AS title FROM jobads_jp")
 def clean_titles(t):
-    c = F.regexp_replace(F.col("job_title_english"), r"\([^)]*\)|\[[^\]]*\]|\*[^*]*\*|\s[|/#].*$|\s-\s.*$|\s+in\s+\S+$", "")
-    return t.jobads_jp.select("id", T.collapse(F.regexp_replace(c, r"(?i)^\s*(senior|sr\.?|junior|lead|experienced|night shift|immediate start:)\s+", "")).alias("title"))
+    c = F.regexp_replace(F.col("job_title_english"), TITLES[0], "")
+    return t.jobads_jp.select("id", T.collapse(F.regexp_replace(c, f"(?i){TITLES[1]}", "")).alias("title"))
 
 
 @query("sim01_classify")
@@ -196,11 +222,14 @@ def classify(t):
     return pipeline.classify_distinct(s, "sentence", lambda d: pipeline.classify(d, "sentence", load)).where("score is not null")
 
 
-@query("sim03_redundancy", "WITH x AS (SELECT CAST(floor(k.vec_id / 10) AS BIGINT) AS sentence, k.vec_id AS token, s.vec_id AS candidate, list_dot_product(k.embedding::DOUBLE[], s.embedding::DOUBLE[]) AS d FROM embeddings k JOIN embeddings s ON s.vec_id < 5 WHERE k.vec_id >= 100), y AS (SELECT *, row_number() OVER (PARTITION BY sentence, token ORDER BY d DESC, candidate) AS r, min(token) OVER (PARTITION BY sentence) AS lo, max(token) OVER (PARTITION BY sentence) AS hi FROM x) SELECT DISTINCT sentence, candidate FROM y WHERE (r = 1 AND token > lo AND token < hi AND hi - lo >= 2) OR hi - lo < 2")
+@query("sim03_redundancy", f"""WITH c AS ({ATTENTION.format(0.1)}), k AS (SELECT CAST(floor(vec_id / 10) AS BIGINT) AS sentence, vec_id AS token, embedding FROM embeddings WHERE vec_id >= 100),
+x AS (SELECT c.sentence, k.token, c.skill AS candidate, list_dot_product(k.embedding::DOUBLE[], s.embedding::DOUBLE[]) AS d FROM c JOIN k USING (sentence) JOIN embeddings s ON s.vec_id = c.skill),
+y AS (SELECT *, row_number() OVER (PARTITION BY sentence, token ORDER BY d DESC, candidate) AS r, min(token) OVER w AS lo, max(token) OVER w AS hi, min(candidate) OVER w <> max(candidate) OVER w AS several FROM x WINDOW w AS (PARTITION BY sentence))
+SELECT DISTINCT sentence, candidate FROM y WHERE (r = 1 AND token > lo AND token < hi AND hi - lo >= 2 AND several) OR hi - lo < 2 OR NOT several""")
 def redundancy(t):
-    from adloom.operators.matching import dot
-
     e = t.embeddings
-    few = F.broadcast(e.where("vec_id < 5").select(F.col("vec_id").alias("candidate"), F.col("embedding").alias("z")))  # five rows
-    x = e.where("vec_id >= 100").join(few).select(F.floor(F.col("vec_id") / 10).cast("long").alias("sentence"), F.col("vec_id").alias("token"), "candidate", dot(F.col("embedding"), F.col("z")).alias("d"))
+    tokens = e.where("vec_id >= 100").select(F.floor(F.col("vec_id") / 10).cast("long").alias("sentence"), F.col("vec_id").alias("token"), "embedding")
+    skills = e.where("vec_id < 100").select(F.col("vec_id").alias("candidate"), F.col("embedding").alias("z"))
+    found = matching.attention(tokens, skills, "sentence", "token", "embedding", "candidate", "z", 0.1).select("sentence", F.col("skill").alias("candidate"))
+    x = found.join(tokens, "sentence").join(skills, "candidate").select("sentence", "token", "candidate", matching.dot(F.col("embedding"), F.col("z")).alias("d"))
     return pipeline.without_redundant(x, "sentence", "token", "candidate", "d")

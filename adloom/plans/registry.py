@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adloom.operators.units import to_common_unit
 from adloom.operators.unpack import code_grammar, skill_grammar, unpack
-from adloom.plans import aggregates, catalog, changes, matches, more, texts  # noqa: F401
+from adloom.plans import aggregates, catalog, changes, further, matches, more, texts  # noqa: F401
 from adloom.session import table
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import text as T
 from adloom.operators.sentences import split_ads
+from adloom.plans.aggregates import DAY
 from adloom.plans.catalog import query
 
 WS = r"[\s\x{A0}\x{3000}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{1680}\x{85}]+"
@@ -46,7 +47,20 @@ def domain(t):
     return t.jobads_jp.select("id", T.url_domain(F.col("job_url")).alias("domain"))
 
 
-@query("str09_clean_translation")
+def _stripped(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}|{WS}$', '', 'g')"
+
+
+def _cleaned() -> str:
+    x = _stripped("description_english")
+    for lead in T.LEADS:
+        x = _stripped(f"regexp_replace({x}, '^{lead}', '', 'i')")
+    for mark in T.END_MARKS:
+        x = _stripped(f"regexp_replace({x}, '{mark}$', '')")
+    return f"SELECT id, nullif({x}, '') AS text FROM jobads_jp"
+
+
+@query("str09_clean_translation", _cleaned())
 def clean_translation(t):
     return t.jobads_jp.select("id", T.clean_translation(F.col("description_english")).alias("text"))
 
@@ -62,9 +76,11 @@ def prompt(t):
     return t.jobads_jp.select("id", F.concat(F.lit("Translate from "), F.coalesce("job_title_lang", F.lit("?")), F.lit(": "), F.col("job_title")).alias("prompt"))
 
 
-@query("str12_task_ids", "SELECT id, 'jobads_jp:' || id || ':title' AS task, id AS parsed FROM jobads_jp")
+@query("str12_task_ids", "WITH x AS (SELECT id, coalesce(source, 'a:b') || ':' || coalesce(CAST(CASE WHEN employer IS NULL THEN NULL ELSE id END AS VARCHAR), 'x') || ':title' AS task FROM jobads_jp) SELECT id, task, CASE WHEN len(string_split(task, ':')) = 3 AND regexp_full_match(split_part(task, ':', 2), '[0-9]+') THEN CAST(split_part(task, ':', 2) AS BIGINT) END AS parsed FROM x")
 def task_ids(t):
-    x = t.jobads_jp.select("id", T.task_id(F.lit("jobads_jp"), F.col("id"), F.lit("title")).alias("task"))
+    # ads without a source or employer stand for ill-formed ids
+    key = F.coalesce(F.when(F.col("employer").isNotNull(), F.col("id")).cast("string"), F.lit("x"))
+    x = t.jobads_jp.select("id", T.task_id(F.coalesce("source", F.lit("a:b")), key, F.lit("title")).alias("task"))
     return x.select("id", "task", T.parsed_task(F.col("task"))["id"].alias("parsed"))
 
 
@@ -73,7 +89,7 @@ def ellipsis(t):
     return t.jobads_jp.select("id", T.ellipsis(F.col("job_title"), 12).alias("title"))
 
 
-@query("dat01_dates", "SELECT id, strftime(try_cast(CASE WHEN regexp_full_match(date_posted, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN date_posted END AS DATE), '%Y-%m-%d') AS day FROM jobads_jp")
+@query("dat01_dates", f"SELECT id, strftime({DAY.format('trim(date_posted)')}, '%Y-%m-%d') AS day FROM jobads_jp")
 def dates(t):
     return t.jobads_jp.select("id", F.date_format(T.day(F.col("date_posted")), "yyyy-MM-dd").alias("day"))
 
@@ -100,16 +116,21 @@ def object_field(t):
     return t.events.select("event_id", F.coalesce(F.from_json("props", "k bigint")["k"], F.lit(0)).alias("k"))
 
 
-@query("jsn02_skill_lists")
+LISTS = f"""WITH x AS (SELECT id, skills, regexp_extract(skills, '(?s)\\[.*\\]') AS inside FROM jobads_jp),
+y AS (SELECT id, CASE WHEN inside <> '' AND json_valid(inside) THEN [v ->> '$' FOR v IN from_json(inside, '["JSON"]') IF json_type(v) = 'VARCHAR'] ELSE regexp_extract_all(skills, '"([^"]{{2,}})"', 1) END AS found FROM x)
+SELECT id, coalesce(array_to_string([s FOR s IN [{_stripped('r')} FOR r IN found] IF length(s) >= 2], '|'), '') AS skills FROM y"""
+
+
+@query("jsn02_skill_lists", LISTS)
 def skill_lists(t):
-    return t.jobads_jp.select("id", T.skill_list(F.col("skills")).alias("skills"))
+    return t.jobads_jp.select("id", F.array_join(T.skill_list(F.col("skills")), "|").alias("skills"))
 
 
-@query("jsn05_requests", "SELECT id FROM jobads_jp WHERE needs_title_translation = 1")
+@query("jsn05_requests", "SELECT 'jobads_jp:' || id || ':title' AS custom_id, 'POST' AS method, job_title AS input FROM jobads_jp WHERE needs_title_translation = 1")
 def requests(t):
-    body = F.to_json(F.struct(T.task_id(F.lit("jobads_jp"), F.col("id"), F.lit("title")).alias("custom_id"), F.struct(F.col("job_title").alias("input")).alias("body")))
-    x = t.jobads_jp.where("needs_title_translation = 1").select(body.alias("request"))
-    return x.select(T.parsed_task(F.get_json_object("request", "$.custom_id"))["id"].alias("id"))
+    body = F.struct(T.task_id(F.lit("jobads_jp"), F.col("id"), F.lit("title")).alias("custom_id"), F.lit("POST").alias("method"), F.struct(F.col("job_title").alias("input")).alias("body"))
+    x = t.jobads_jp.where("needs_title_translation = 1").select(F.to_json(body).alias("request"))
+    return x.select(F.from_json("request", "custom_id string, method string, body struct<input:string>").alias("r")).select("r.custom_id", "r.method", "r.body.input")
 
 
 @query("txt06_sentences", "WITH p AS (SELECT id, unnest(string_split(regexp_replace(description_english, '([.!?])[ \\t\\n\\r\\f\\v]+([A-Z0-9(\"])', '\\1' || chr(31) || '\\2', 'g'), chr(31))) AS s FROM jobads_jp), q AS (SELECT id, trim(regexp_replace(s, '" + WS + "', ' ', 'g'), ' ') AS s FROM p) SELECT id, count(*) AS n, CAST(sum(length(s)) AS BIGINT) AS chars FROM q WHERE length(s) >= 10 AND len(regexp_extract_all(s, '[\\p{L}\\p{N}_]+')) >= 2 GROUP BY id")

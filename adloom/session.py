@@ -58,8 +58,7 @@ def cut(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    place, system = _place(spark, path)
-    system.deleteOnExit(place)
+    delete_at_end(spark, path)
     done = spark.read.schema(df.schema).parquet(path)
     done._written_to = path
     return done
@@ -74,6 +73,11 @@ def free(*tables: DataFrame | None) -> None:
             system.delete(place, True)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    place, system = _place(spark, path)
+    system.deleteOnExit(place)
+
+
 def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,9 +15,13 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, key: str
 
 
 def read_by_country(spark: SparkSession, glob: str, schema: str, pattern: str, countries: list[str] | None = None) -> DataFrame:
-    """Many JSON lines files with the country from their names; a whitelist prunes rows before they are parsed further."""
-    df = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(glob).withColumn("country", F.regexp_extract(F.input_file_name(), pattern, 1))
-    return df.where(F.col("country").isin(countries)) if countries else df
+    """Many JSON lines files with the country from their paths. With a whitelist only its files are read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = [s.getPath().toString() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []]
+    paths = [p for p in found if (m := re.search(pattern, p)) and (not countries or m[1] in countries)]
+    if not paths:
+        return spark.createDataFrame([], schema).withColumn("country", F.lit(None).cast("string"))
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths).withColumn("country", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
 
 
 def read_dictionary(spark: SparkSession, path: str, uri: str = "conceptUri", label: str = "preferredLabel") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.operators.upsert import insert_absent
+from adloom.sources.tables import exists
 
 
 def pending(todo: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
@@ -25,10 +26,8 @@ def collect_daily(spark: SparkSession, source: str, schema: str, master: str, ch
     """Append ads of new files to the master table unless their key is there, first row of a key in a batch."""
 
     def add(batch: DataFrame, number: int) -> None:
-        try:
-            known = spark.read.parquet(master)
-        except Exception:  # the master's first batch
-            known = spark.createDataFrame([], batch.schema)
+        # only the master's first batch finds none; a master that can't be read is an error, or every known ad would come again
+        known = spark.read.parquet(master) if exists(spark, master) else spark.createDataFrame([], batch.schema)
         insert_absent(known, batch, key, F.col(order)).select(batch.columns).write.mode("append").parquet(master)
 
     spark.readStream.schema(schema).json(source).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -67,15 +67,6 @@ def classify(sentences: DataFrame, text: str, load: Callable[[], Callable[[list[
     return sentences.withColumn("score", score(F.col(text))).where(F.col("score") >= threshold)
 
 
-def keyword_model(words: tuple[str, ...]) -> Callable[[], Callable[[list[str]], np.ndarray]]:
-    """A stand-in for a trained classifier: the share of `words` that a text holds, at most 1."""
-
-    def load():
-        return lambda texts: np.array([min(1.0, sum(w in t.lower() for w in words) / 2) for t in texts])
-
-    return load
-
-
 def classify_distinct(df: DataFrame, column: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run dear work once for each different value and join the result back. work keeps `column`."""
     return df.join(work(df.select(column).where(F.col(column).isNotNull()).distinct()), column, "left")

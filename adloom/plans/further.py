@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
 
-from adloom.functions import stats
+from adloom.functions import lines, registered, stats
 from adloom.functions import text as T
-from adloom.operators import languages, matching, pipeline, upsert
+from adloom.operators import languages, matching, pipeline, sentences, upsert
 from adloom.operators.ranks import numbered
 from adloom.plans.aggregates import MENTIONS, SRC, by_source, mentions
 from adloom.plans.catalog import query
@@ -326,7 +327,7 @@ def generate(t):
 
 @query("sim06_spans", f"SELECT id, array_to_string([x FOR x IN string_split(employer, ' ') IF length(x) >= 2], '|') AS skills FROM jobads_jp WHERE employer IS NOT NULL AND NOT contains(employer, '\"') AND NOT contains(employer, '\\')".replace("string_split(employer, ' ')", f"regexp_split_to_array(employer, '{WS}')"))
 def spans(t):
-    load = lambda: lambda prompts: ["Here you are: " + __import__("json").dumps(p.split()) for p in prompts]
+    load = lambda: lambda prompts: [f"Here you are: {json.dumps(p.split())}" for p in prompts]
     ads = t.jobads_jp.where(F.col("employer").isNotNull() & ~F.col("employer").contains('"') & ~F.col("employer").contains("\\"))
     x = pipeline.generate(ads.select("id", "employer"), "employer", load)
     return x.select("id", F.array_join(T.skill_list(F.col("answer")), "|").alias("skills"))
@@ -350,3 +351,71 @@ def cached_heads(t):
     for model in ("words-1", "words-2", "words-2"):  # another model's cache isn't used
         out = pipeline.cached(t.spark, path, model, make)
     return out
+
+
+# lines
+
+_SPACES = r"\s\x{A0}\x{3000}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{1680}\x{85}\x{1C}-\x{1F}\x{0B}"
+
+
+def _re2(pattern: str) -> str:
+    """A pattern in which whitespace is Unicode's."""
+    out, inside, k = "", False, 0
+    while k < len(pattern):
+        two = pattern[k : k + 2]
+        if two in (r"\s", r"\S"):
+            out += _SPACES if inside and two == r"\s" else f"[{'^' if two == r'\S' else ''}{_SPACES}]"
+            k += 2
+        elif two[0] == "\\":
+            out += two
+            k += 2
+        else:
+            inside = two[0] == "[" or (inside and two[0] != "]")
+            out += two[0]
+            k += 1
+    return out.replace("'", "''")
+
+
+def _cleaned(line: str) -> str:
+    for pattern, by in sentences.CLEANING:
+        line = f"regexp_replace({line}, '{_re2(pattern)}', '{by}', 'g')"
+    return f"regexp_replace({line}, '^[{_SPACES}]+|[{_SPACES}]+$', '', 'g')"
+
+
+LINES = f"(SELECT id, {_cleaned('line')} AS line FROM (SELECT id, unnest(string_split(description_english, chr(10))) AS line FROM jobads_jp))"
+
+
+def _lines(t):
+    return t.jobads_jp.select("id", F.explode(lines.clean_lines(F.col("description_english"))).alias("line"))
+
+
+@query("txt01_clean_lines", f"SELECT id, line FROM {LINES} WHERE line <> ''")
+def clean_lines(t):
+    return _lines(t)
+
+
+@query("txt02_particulars", f"SELECT id, line FROM {LINES} WHERE regexp_matches(line, '^(?:{_re2(sentences.PARTICULARS)})[{_SPACES}]*[:\\-]', 'i') OR regexp_full_match(line, '[^{_SPACES}]{{40,}}')")
+def particulars(t):
+    return _lines(t).where(lines.is_particular(F.col("line")))
+
+
+_KEY = f"lower(trim(regexp_replace(regexp_replace(regexp_replace(line, '^#+[{_SPACES}]*', ''), '[\\[\\]()*:_]', ' ', 'g'), '[{_SPACES}]+', ' ', 'g')))"
+
+
+@query("txt03_headings", f"SELECT id, line FROM (SELECT id, line, {_KEY} AS k FROM {LINES} WHERE line <> '') WHERE k <> '' AND (regexp_full_match(line, '\\[.+\\]') OR (len(regexp_extract_all(k, '[\\p{{L}}\\p{{N}}_]+')) <= 6 AND (k IN ({', '.join(chr(39) + h.replace(chr(39), chr(39) * 2) + chr(39) for h in sorted(sentences.HEADINGS))}) OR regexp_matches(line, ':[{_SPACES}]*$'))))")
+def headings(t):
+    return _lines(t).where(lines.is_heading(F.col("line")))
+
+
+@query("udf01_registered", f"SELECT id, {_cleaned('job_title_english')} AS line FROM jobads_jp")
+def registered_functions(t):
+    registered.register(t.spark)
+    t.jobads_jp.select("id", "job_title_english").createOrReplaceTempView("adloom_ads")
+    return t.spark.sql("SELECT id, clean_line(job_title_english) AS line FROM adloom_ads")
+
+
+@query("udf01_table_function")
+def table_function(t):
+    registered.register(t.spark)
+    t.jobads_jp.select("id", "description_english").createOrReplaceTempView("adloom_texts")
+    return t.spark.sql("SELECT id, s.pos, s.sentence FROM adloom_texts, LATERAL ad_sentences(description_english) s")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions import stats
 from adloom.functions import text as T
-from adloom.operators import matching, pipeline
+from adloom.operators import classifier, matching, pipeline
 from adloom.operators.ranks import numbered
 from adloom.operators.sentences import split_ads
 from adloom.operators.upsert import fill_blanks
@@ -217,9 +217,12 @@ def clean_titles(t):
 
 @query("sim01_classify")
 def classify(t):
+    """Sentences that ask for skill. The classifier learns from a bounded sample, those of the least hash, which usual words label."""
     s = split_ads(t.jobads_jp, "id", "description_english")
-    load = pipeline.keyword_model(("experience", "knowledge", "practice", "advantage"))
-    return pipeline.classify_distinct(s, "sentence", lambda d: pipeline.classify(d, "sentence", load)).where("score is not null")
+    some = s.select("sentence").distinct().orderBy(F.xxhash64("sentence")).limit(classifier.SAMPLE)
+    rows = some.select("sentence", F.lower("sentence").rlike("experience|knowledge|skill|practice|qualif|welcome").cast("int").alias("label")).collect()
+    model = classifier.Classifier().fit([x["sentence"] for x in rows], [x["label"] for x in rows])
+    return pipeline.classify_distinct(s, "sentence", lambda d: pipeline.classify(d, "sentence", lambda: model)).where("score is not null")
 
 
 @query("sim03_redundancy", f"""WITH c AS ({ATTENTION.format(0.1)}), k AS (SELECT CAST(floor(vec_id / 10) AS BIGINT) AS sentence, vec_id AS token, embedding FROM embeddings WHERE vec_id >= 100),

@@ -36,7 +36,8 @@ class SqliteReader(DataSourceReader):
         """Take comparisons of text and figures; Spark does the others. A figure isn't compared with a column of text, as the database would order them by kind."""
         self.where = []
         for f in filters:
-            name = f.attribute[0] if len(f.attribute) == 1 else None
+            place = getattr(f, "attribute", ())
+            name = place[0] if len(place) == 1 else None
             if name in self.names and isinstance(f, IsNotNull):
                 self.where.append((f'"{name}" IS NOT NULL', []))
             elif name in self.names and type(f) in _COMPARED and isinstance(f.value, str if self.kinds[self.names.index(name)] == "string" else (int, float)):

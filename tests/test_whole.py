@@ -35,8 +35,12 @@ def test_regroup_keeps_repeated_ids(spark, tmp_path):
 
 def test_checkpoint_returns_every_row(spark, tmp_path):
     rows = [(1, "a", None), (2, " b　", " "), (3, None, None), (4, "\tc", "kept"), (5, "\xa0", "")]
-    got = run(spark, tmp_path, "joi07_apply_checkpoint", jobads_jp=(rows, "id long, job_title string, job_title_english string"))
+    kind = "id long, job_title string, job_title_english string, employer string, job_title_lang string, needs_title_translation int"
+    got = run(spark, tmp_path, "joi07_apply_checkpoint", jobads_jp=([(*r, None, "JA", 1) for r in rows], kind))
     assert {r.id: r.job_title_english for r in got.collect()} == {1: "a", 2: "b", 3: None, 4: "kept", 5: ""}
+    # the last of an id counts if it isn't blank, and the flag goes where a cell was filled
+    again = run(spark, tmp_path / "again", "joi07_apply_checkpoint", jobads_jp=([(*r, " early ", "JA" if r[0] != 2 else None, 1) for r in rows], kind))
+    assert {r.id: (r.job_title_english, r.needs_title_translation) for r in again.collect()} == {1: ("a", 0), 2: ("early", 0), 3: ("early", 0), 4: ("kept", 1), 5: ("early", 0)}
 
 
 def test_fuzzy_scores_titles_without_a_shared_word(spark):

@@ -68,34 +68,33 @@ def cuts(total: np.ndarray, strength: np.ndarray, limit: int, overlap: int) -> l
     return sorted(out)
 
 
-def _inner(e: Encoder, text: str, offset: int, index: int, limit: int) -> list[tuple[int, int]]:
-    """(code point, tokens) inside one piece of many tokens, where tokens end with a character."""
-    ids = e.flat[e.begin[index] : e.begin[index] + e.count[index]]
-    ends = np.cumsum(e.v.length[ids])[:-1]
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    sizes = np.cumsum(1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF))
-    at = sizes.searchsorted(ends)
-    hit = np.nonzero(sizes[at] == ends)[0]
-    return list(zip((at[hit] + offset + 1).tolist(), (hit + 1).tolist()))
-
-
-def split_text(e: Encoder, text: str, place: np.ndarray, index: np.ndarray, strength: np.ndarray, limit: int, overlap: int, exact: bool = True) -> list[tuple[int, int, int]]:
-    """(start, end, tokens) of the pieces of a text above the limit; tokens are -1 where only encoding the piece by itself tells, unless exact."""
+def boundaries(e: Encoder, codes: np.ndarray, owner: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.ndarray, strength: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, code point, tokens of the text before, strength) of the places where texts that lie end to end in codes may be cut: before each piece, and inside
+    pieces of more than `most` tokens wherever a token ends with a character."""
     counts = e.count[index]
-    p = np.append(place, len(text))
-    t = np.append(0, np.cumsum(counts))
-    s = np.append(strength, PARAGRAPH)
-    big = np.nonzero(counts > overlap // 2)[0]
-    if len(big):
-        more = []
-        for k in big.tolist():
-            c, done = int(p[k]), int(t[k])
-            more += [(x, done + m) for x, m in _inner(e, text[c : int(p[k + 1])], c, int(index[k]), limit)]
-        if more:
-            extra = np.array(more)
-            order = np.argsort(np.append(p, extra[:, 0]), kind="stable")
-            p, t = np.append(p, extra[:, 0])[order], np.append(t, extra[:, 1])[order]
-            s = np.append(s, np.full(len(extra), INSIDE))[order]
+    before = np.cumsum(counts) - counts
+    fresh = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
+    before -= np.repeat(before[fresh], np.diff(np.append(np.flatnonzero(fresh), len(owner))))
+    big = np.flatnonzero(counts > most)
+    if not len(big):
+        return owner, starts, before, strength
+    c, n = counts[big], sizes[big]
+    token = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
+    ends = np.cumsum(e.v.length[e.flat[np.repeat(e.begin[index[big]], c) + token]])
+    where = np.repeat(starts[big] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    x = codes[where]
+    bytes_ = np.cumsum(1 + (x > 0x7F).astype(np.int64) + (x > 0x7FF) + (x > 0xFFFF))
+    at = np.searchsorted(bytes_, ends)
+    hit = np.flatnonzero((bytes_[at] == ends) & (token + 1 < np.repeat(c, c)))
+    piece = np.repeat(big, c)[hit]
+    place = np.append(starts, where[at[hit]] + 1)
+    order = np.argsort(place, kind="stable")
+    return np.append(owner, owner[piece])[order], place[order], np.append(before, before[piece] + token[hit] + 1)[order], np.append(strength, np.full(len(hit), INSIDE))[order]
+
+
+def split_text(e: Encoder, text: str, place: np.ndarray, before: np.ndarray, strength: np.ndarray, total: int, limit: int, overlap: int, exact: bool = True) -> list[tuple[int, int, int]]:
+    """(start, end, tokens) of the pieces of a text above the limit, from its boundaries; tokens are -1 where only encoding the piece by itself tells, unless exact."""
+    p, t, s = np.append(place, len(text)), np.append(before, total), np.append(strength, PARAGRAPH)
     at = [0, *cuts(t, s, limit, overlap), len(p) - 1]
     out = []
     for a, b in zip(at, at[1:]):
@@ -140,17 +139,19 @@ def split_long(df: DataFrame, id_col: str, text_col: str, limit: int = 512, over
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo, hi in portions(texts):
                 part = texts[lo:hi]
-                owner, starts, _, index = e.pieces(part)
+                owner, starts, length, index = e.pieces(part)
                 codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), "<u4")
+                total = np.bincount(owner, e.count[index], len(part)).astype(np.int64)
                 strength = strengths(codes, starts)
-                bounds = np.searchsorted(owner, np.arange(len(part) + 1))
-                total = np.bincount(owner, e.count[index], len(part))
+                long = total[owner] > limit  # pieces of texts that are cut
+                own, place, before, power = boundaries(e, codes, owner[long], starts[long], length[long], index[long], strength[long], overlap // 2)
+                bounds = np.searchsorted(own, np.arange(len(part) + 1))
+                begins = np.cumsum(list(map(len, part))) - list(map(len, part))
                 rows: tuple[list, ...] = ([], [], [], [], [], [])
                 cut: list = []
                 for k in np.nonzero(total > limit)[0]:
                     x, y = bounds[k], bounds[k + 1]
-                    got = split_text(e, part[k], starts[x:y] - starts[x], index[x:y], strength[x:y], limit, overlap, exact=False)
-                    cut.append((k, got))
+                    cut.append((k, split_text(e, part[k], place[x:y] - begins[k], before[x:y], power[x:y], int(total[k]), limit, overlap, exact=False)))
                 open_ = [(m, n) for m, (_, got) in enumerate(cut) for n, piece in enumerate(got) if piece[2] < 0]
                 sizes = e.sizes([part[cut[m][0]][cut[m][1][n][0] : cut[m][1][n][1]] for m, n in open_])
                 again = set()
@@ -160,8 +161,8 @@ def split_long(df: DataFrame, id_col: str, text_col: str, limit: int = 512, over
                         again.add(m)
                 for m, (k, got) in enumerate(cut):
                     if m in again:
-                        _, place, _, own = e.pieces([part[k]])
-                        got = split_text(e, part[k], place, own, strength[bounds[k] : bounds[k + 1]], limit, overlap)
+                        x, y = bounds[k], bounds[k + 1]
+                        got = split_text(e, part[k], place[x:y] - begins[k], before[x:y], power[x:y], int(total[k]), limit, overlap)
                     for n, (start, end, size) in enumerate(got):
                         for r, v in zip(rows, (ids[lo + k], n, start, end, size, part[k][start:end])):
                             r.append(v)

@@ -14,21 +14,24 @@ SCRIPTS = (("JA", r"[ぁ-ゖァ-ヺ]"), ("KO", r"[가-힣]"), ("ZH", r"[一-鿿]
 WORDS = {"EN": ("the", "and", "of", "for", "with", "to", "in"), "DE": ("der", "die", "das", "und", "für", "mit", "sie"), "PT": ("de", "para", "com", "uma", "os", "do", "da"), "ID": ("yang", "dan", "untuk", "dengan", "kami", "di"), "VI": ("và", "của", "cho", "với", "các", "tại")}
 
 
+def _among(words: tuple[str, ...]) -> Callable[[Column], Column]:
+    return lambda x: x.isin(*words)
+
+
 def by_script_and_words(text: Column) -> Column:
     """The ISO 639-1 code in upper case: of the first script that occurs, else of the language most of whose usual words occur (ties: as listed); NULL if none does."""
-    words = F.concat(F.lit("  "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", "  "), F.lit("  "))
+    words = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " "), " ")
+    codes = F.array(*map(F.lit, WORDS))
 
-    def count(w: str) -> Column:
-        return (F.length(words) - F.length(F.replace(words, F.lit(f" {w} "), F.lit("")))) / F.lit(len(w) + 2)
+    def usual(w: Column) -> Column:
+        counts = F.array(*(F.size(F.filter(w, _among(ws))) for ws in WORDS.values()))
+        return F.transform(F.array(counts), lambda n: F.when(F.array_max(n) > 0, F.element_at(codes, F.array_position(n, F.array_max(n)).cast("int"))))[0]
 
-    counts = {k: sum((count(w) for w in ws[1:]), count(ws[0])) for k, ws in WORDS.items()}
-    most = F.greatest(*counts.values())
     out = F.when(text.isNull(), F.lit(None).cast("string"))
     for code, pattern in SCRIPTS:
         out = out.when(text.rlike(pattern), F.lit(code))
-    for code, n in counts.items():
-        out = out.when((n == most) & (most > 0), F.lit(code))
-    return out
+    # the words are bound once for all counts
+    return out.otherwise(F.transform(F.array(words), usual)[0])
 
 
 def fill_languages(df: DataFrame, fields: dict[str, str], detect: Callable[[Column], Column] = by_script_and_words) -> DataFrame:

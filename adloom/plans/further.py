@@ -278,20 +278,22 @@ def year_of_text(t):
     return files.in_year(t.jobads_jp, "date_posted", 2025).select("id")
 
 
-def _counted(text: str) -> str:
-    words = f"'  ' || regexp_replace(lower({text}), '[^\\p{{L}}\\p{{M}}]+', '  ', 'g') || '  '"
-    n = {k: " + ".join(f"(length({words}) - length(replace({words}, ' {w} ', ''))) / {len(w) + 2}.0" for w in ws) for k, ws in languages.WORDS.items()}
-    most = f"greatest({', '.join(n.values())})"
-    scripts = " ".join(f"WHEN regexp_matches({text}, '{p}') THEN '{k}'" for k, p in languages.SCRIPTS)
-    return f"CASE WHEN {text} IS NULL THEN NULL {scripts} " + " ".join(f"WHEN {v} = {most} AND {most} > 0 THEN '{k}'" for k, v in n.items()) + " END"
-
-
-def _filled(text: str, lang: str) -> str:
-    stripped = f"nullif(regexp_replace({text}, '^{WS}|{WS}$', '', 'g'), '')"
-    return f"CASE WHEN {lang} IS NOT NULL AND trim({lang}, ' ') <> '' THEN {lang} ELSE {_counted(stripped)} END AS {lang}"
-
-
-@query("txt07_fill_languages", f"SELECT id, {_filled('job_title', 'job_title_lang')}, {_filled('responsibilities', 'responsibilities_lang')} FROM jobads_jp")
+def _language_of(fields: dict[str, str]) -> str:
+    strip = f"'^{WS}|{WS}$'"
+    text = ", ".join(f"nullif(regexp_replace({t}, {strip}, '', 'g'), '') AS t{k}" for k, t in enumerate(fields))
+    words = ", ".join(f"string_split(regexp_replace(lower(t{k}), '[^\\p{{L}}\\p{{M}}]+', ' ', 'g'), ' ') AS w{k}" for k in range(len(fields)))
+    listed = {c: ", ".join(f"'{w}'" for w in ws) for c, ws in languages.WORDS.items()}
+    counts = ", ".join(f"len([x FOR x IN w{k} IF x IN ({ws})]) AS n{k}_{c}" for k in range(len(fields)) for c, ws in listed.items())
+    out = []
+    for k, lang in enumerate(fields.values()):
+        most = f"greatest({', '.join(f'n{k}_{c}' for c in listed)})"
+        scripts = " ".join(f"WHEN regexp_matches(t{k}, '{p}') THEN '{c}'" for c, p in languages.SCRIPTS)
+        usual = " ".join(f"WHEN n{k}_{c} = {most} AND {most} > 0 THEN '{c}'" for c in listed)
+        out.append(f"CASE WHEN {lang} IS NOT NULL AND trim({lang}, ' ') <> '' THEN {lang} WHEN t{k} IS NULL THEN NULL {scripts} {usual} END AS {lang}")
+    return f"WITH a AS (SELECT *, {text} FROM jobads_jp), b AS (SELECT *, {words} FROM a), c AS (SELECT *, {counts} FROM b) SELECT id, {', '.join(out)} FROM c"
+
+
+@query("txt07_fill_languages", _language_of({"job_title": "job_title_lang", "responsibilities": "responsibilities_lang"}))
 def fill_languages(t):
     x = languages.fill_languages(t.jobads_jp.select("id", "job_title", "job_title_lang", "responsibilities", "responsibilities_lang"), {"job_title": "job_title_lang", "responsibilities": "responsibilities_lang"})
     return x.select("id", "job_title_lang", "responsibilities_lang")

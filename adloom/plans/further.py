@@ -18,6 +18,7 @@ from adloom.plans.more import source
 from adloom.plans.texts import WS
 from adloom.session import checkpoint_dir, delete_at_end
 from adloom.sources import files, sqlite, tables, workbook
+from adloom.streaming import incremental
 
 
 def folder(t, name: str) -> str:
@@ -421,3 +422,49 @@ def table_function(t):
     registered.register(t.spark)
     t.jobads_jp.select("id", "description_english").createOrReplaceTempView("adloom_texts")
     return t.spark.sql("SELECT id, s.pos, s.sentence FROM adloom_texts, LATERAL ad_sentences(description_english) s")
+
+
+def _listed(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(words))
+
+
+_TOKENS = "regexp_extract_all(line, '[\\p{L}\\p{N}_](?:[\\p{L}\\p{N}_''\\-]*[\\p{L}\\p{N}_])?')"
+_FIRST = f"regexp_replace(lower(regexp_extract(line, '^[{_SPACES}]*([^{_SPACES}]+)', 1)), '^[.,;:()\\[\\]\"'']+|[.,;:()\\[\\]\"'']+$', '', 'g')"
+_VERBS = f"regexp_matches(line, '(^|[^\\p{{L}}\\p{{N}}_])(?:{sentences.VERBS})($|[^\\p{{L}}\\p{{N}}_])', 'i')"
+
+
+@query("txt04_continuations", f"SELECT id, line, NOT regexp_matches(line, '[.!?:;]$') AND (ends_with(line, ',') OR coalesce(lower({_TOKENS}[-1]) IN ({_listed(sentences.CONNECTING)}), false) OR (len({_TOKENS}) BETWEEN 1 AND 3 AND NOT {_VERBS})) AS may_go_on, regexp_matches(line, '^[\\p{{Ll}},;)\\]]') OR {_FIRST} IN ({_listed(sentences.CONNECTING)}) AS goes_on FROM {LINES} WHERE line <> ''")
+def continuations(t):
+    return _lines(t).select("id", "line", lines.may_go_on(F.col("line")).alias("may_go_on"), lines.goes_on(F.col("line")).alias("goes_on"))
+
+
+# incremental batches
+
+
+@query("stm01_new_files", "SELECT id, upper(employer) AS employer FROM jobads_jp WHERE employer IS NOT NULL")
+def new_files(t):
+    path, ads = folder(t, "in"), t.jobads_jp.where("employer is not null").select("id", "employer")
+    sink, checkpoint = folder(t, "out"), folder(t, "checkpoint")
+    for part in (ads.where("source is null"), ads.where("source is not null"), None):  # the third run finds nothing new
+        if part is not None:
+            files.write_jsonl(part, path, append=True)
+        incremental.process_new_files(t.spark, path, "id long, employer string", lambda s: s.withColumn("employer", F.upper("employer")), sink, checkpoint)
+    return t.spark.read.parquet(sink)
+
+
+@query("stm02_chunks", "SELECT id FROM jobads_jp")
+def flushed(t):
+    path, sink = folder(t, "in"), folder(t, "out")
+    files.write_requests(t.jobads_jp.select("id"), path, 1_000)
+    incremental.process_new_files(t.spark, path, "id long", lambda s: s, sink, folder(t, "checkpoint"), files_a_batch=2)
+    return t.spark.read.parquet(sink)
+
+
+@query("stm04_daily", "SELECT job_url, arg_min(id, CASE WHEN source = 'careerjet' THEN 0 ELSE 1000000000000 END + id) AS id FROM jobads_jp WHERE job_url <> '' GROUP BY job_url")
+def daily(t):
+    path, ads = folder(t, "in"), t.jobads_jp.select("id", "job_url", "source")
+    master, checkpoint = folder(t, "master"), folder(t, "checkpoint")
+    for part in (ads.where("source = 'careerjet'"), ads.where("source is null or source <> 'careerjet'")):
+        files.write_jsonl(part.select("id", "job_url"), path, append=True)
+        incremental.collect_daily(t.spark, path, "id long, job_url string", master, checkpoint, "job_url", "id")
+    return t.spark.read.parquet(master).select("job_url", "id")

@@ -104,6 +104,9 @@ def test_lines_are_those_of_sentences(spark):
     every = [x for v in got.values() for x in v or []]
     told = spark.createDataFrame([(x,) for x in every], "x string").select("x", lines.is_heading(F.col("x")).alias("h"), lines.is_particular(F.col("x")).alias("p")).collect()
     assert all(r.h == sentences.is_heading(r.x) and r.p == bool(sentences._DROPPED.match(r.x)) for r in told)
+    shown = ["Knowledge of", "SQL, and", "one two,", "Lead teams", "Nurses", "done.", "and more", "(in x", "Über uns", "étage", ") x", "A long line without an end here"]
+    got = spark.createDataFrame([(x,) for x in shown], "x string").select("x", lines.may_go_on(F.col("x")).alias("m"), lines.goes_on(F.col("x")).alias("g")).collect()
+    assert all(r.m == sentences._ends(r.x) and r.g == sentences._continues(r.x) for r in got)
     assert {r.x for r in told if r.h} == {"Duties", "What we offer:"} and {r.x for r in told if r.p} == {"Pay: 5", "w" * 50}
 
 

@@ -1,5 +1,6 @@
 import itertools
 import math
+import os
 import random
 import time
 
@@ -14,6 +15,7 @@ from adloom.llm.encoding import encode_corpus
 from adloom.llm.neardup import similar_groups, similarity, version_groups
 from adloom.llm.normal import bare
 from adloom.llm.packing import fill_containers, pack
+from adloom.llm import queries as production
 from adloom.llm.splitting import split_long
 
 
@@ -454,3 +456,54 @@ def test_repeated_ids_of_versions(spark):
     a, b, c = ("".join(random.choice("abcdefghij") for _ in range(300)) for _ in range(3))
     df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b + "x"), (4, c), (4, c), (None, a)], "id long, r string")
     assert {tuple(r) for r in similar_groups(df, "id", "r")[0].collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
+ADS = "/root/testdata/sf0.01/jobads_jp.parquet"
+#: Refusals in words that the field hasn't seen.
+UNSEEN = ("This isn't something I'm able to do for you.", "Regrettably, translating this is beyond what I may do.", "I don't have the ability to translate that document.", "We regret that this text will not be translated.", "私はこの文章を訳すことができません。", "我不能翻译这个。", "이 요청은 처리할 수 없습니다.", "Não posso fazer isso.", "Ich kann das nicht tun.")
+
+
+@pytest.fixture(scope="module")
+def fitted():
+    """A judge of the even ads, and the sound pairs of the odd ones."""
+    pq = pytest.importorskip("pyarrow.parquet")
+    if not os.path.exists(ADS):
+        pytest.skip("the test tables aren't here")
+    rows = pq.read_table(ADS).to_pylist()
+    model = langid.fit(rows[::2], production.LABELS)
+    judge = pairs.fit_judge(rows[::2], production.TEXTS, production.TITLES, model)
+    odd = [r for r in rows[1::2] if r["responsibilities"] and r["description_english"] and len(r["description_english"]) > 300 and len(r["responsibilities"]) > 100]
+    return judge, [(r["responsibilities"], r["description_english"]) for r in odd if judge.text(r["responsibilities"], r["description_english"]) is None], rows
+
+
+def test_pairs_on_held_out_ads(fitted):
+    judge, sound, rows = fitted
+    rng = random.Random(7)
+    right = {"copy": [], "other_language": [], "truncated": [], "refusal": [], None: []}
+    foreign = [(q, a) for q, a in sound if not judge._is_english(pairs.clauses(pairs.nfkc(q)))]
+    for k, (q, a) in enumerate(foreign[:400]):
+        body = pairs._without_lead(a)
+        right["copy"].append(judge.text(q, "Translation:\n" + q) == "copy")
+        # an answer in the language of another ad that has another script or vocabulary
+        other = next((p for p, _ in foreign[k + 1 :] + foreign if not pairs._near(bare(p), pairs._grams(q), 0.2)), None)
+        if other:
+            right["other_language"].append(judge.text(q, other) == "other_language")
+        words = body.split(" ")
+        right["truncated"].append(judge.text(q, " ".join(words[: rng.randrange(len(words) // 4, len(words) * 3 // 4)])[:-1]) == "truncated")
+        right["refusal"].append(judge.text(q, UNSEEN[k % len(UNSEEN)]) == "refusal")
+        # a sentence that says what isn't possible is none
+        right[None].append(judge.text(q, body + "\nApplications by phone alone cannot be accepted.") is None)
+    share = {k: sum(v) / len(v) for k, v in right.items()}
+    print("held out:", {k: f"{v:.3f} of {len(right[k])}" for k, v in share.items()})
+    assert all(v >= 0.95 for k, v in share.items() if k) and share[None] >= 0.9
+
+
+def test_languages_on_held_out_labels(fitted):
+    judge, _, rows = fitted
+    got = []
+    for r in rows[1::2]:
+        label, found = (r["responsibilities_lang"] or "").strip().lower(), langid.segments(r["responsibilities"] or "", judge.model)
+        if label in langid.LANGUAGES and len(found) == 1:
+            got.append(found[0][0] == label)
+    print(f"languages: {sum(got) / len(got):.3f} of {len(got)} labels, some of which are wrong")
+    assert sum(got) >= 0.85 * len(got)

@@ -11,7 +11,7 @@ from adloom.functions import lines, registered, stats
 from adloom.functions import text as T
 from adloom.operators import languages, matching, pipeline, sentences, upsert
 from adloom.operators.ranks import numbered
-from adloom.plans.aggregates import MENTIONS, SRC, by_source, mentions
+from adloom.plans.aggregates import MENTIONS, SRC, by_source
 from adloom.plans.catalog import query
 from adloom.plans.matches import ATTENTION
 from adloom.plans.more import source

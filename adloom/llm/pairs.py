@@ -77,10 +77,10 @@ def _class(w: str) -> str:
 class Endings:
     """How likely a clause is complete that ends so: counts of clauses that were followed by another, against the same words inside clauses."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[list[str]]):
+        """texts: the clauses of each."""
         self.end, self.mid, self.end1, self.mid1 = Counter(), Counter(), Counter(), Counter()
-        for t in texts:
-            found = clauses(t)
+        for found in texts:
             for c in found[:-1]:
                 e = _ending(c)
                 self.end[e] += 1
@@ -275,8 +275,9 @@ class Judge:
         self.model = model
         sound = [(nfkc(q), nfkc(a)) for q, a in pairs]
         heads = [(nfkc(q), nfkc(a)) for q, a in titles]
-        self.answers = Endings([a for _, a in sound])
-        self.prompts = Endings([q for q, _ in sound])
+        parts = [(clauses(q), clauses(a)) for q, a in sound]
+        self.answers = Endings([a for _, a in parts])
+        self.prompts = Endings([q for q, _ in parts])
         usual = Counter(w for pair in sound + heads for x in pair for w in _units(x))
         usual.update(dict.fromkeys(model.words, 20))  # words of languages that are rare among the pairs tell nothing either
         # refusals are made of one half and judged by the words of the other, so the field learns how well words it hasn't seen tell them
@@ -295,22 +296,23 @@ class Judge:
                 self.longer[w[:k]] = max(self.longer.get(w[:k], 0), n)
         # how long a sound answer is for a prompt of a kind
         by: dict[str, list[float]] = {}
-        for q, a in sound:
-            by.setdefault(_kind(q), []).append(sum(map(len, clauses(a))) / max(1, sum(map(len, clauses(q)))))
+        for (q, _), (asked, got) in zip(sound, parts):
+            by.setdefault(_kind(q), []).append(sum(map(len, got)) / max(1, sum(map(len, asked))))
         self.ratio = {k: float(np.median(v)) for k, v in by.items()}
         self.field = Field()
-        data = self._made(sound, unseen) + self._made_titles(heads, unseen)
+        data = self._made(sound, parts, unseen) + self._made_titles(heads, unseen)
         self.field.fit(data)
         # the sample has defects of its own: what the field calls unsound of the pairs taken as they are is left out
         kept = [(seq, tags) for seq, tags in data if any(tags) or not any(self.field.tag(seq))]
         self.field.fit(kept)
 
-    def _made(self, sound: list[tuple[str, str]], unseen: list[tuple[tuple[str, ...], Wording]]) -> list:
+    def _made(self, sound: list[tuple[str, str]], parts: list[tuple[list[str], list[str]]], unseen: list[tuple[tuple[str, ...], Wording]]) -> list:
         """Pairs with known tags: as they are, cut short, both cut at one place, an echo, a foreign text, a refusal."""
         rng, data = np.random.default_rng(2), []
         for i, (q, a) in enumerate(sound):
-            body = _without_lead(a)
-            got, asked = clauses(body), clauses(q)
+            body, (asked, got) = _without_lead(a), parts[i]
+            if len(body) != len(a):
+                got = clauses(body)
             if not got or not asked or not self._is_english(got):
                 continue
             english, kind = self._is_english(asked), i % 10
@@ -327,16 +329,16 @@ class Judge:
                     x = spans[int(rng.integers(len(spans)))]
                     at = int(rng.integers(x[0] + 1, x[1]))
                 cut = body[:at].rstrip() + ("…" if rng.random() < 0.15 else "")
-                parts = clauses(cut)
-                if not parts or len(_unmarked(parts)) == len(_unmarked(got)) and len(cut) > 0.97 * len(body):
+                kept = clauses(cut)
+                if not kept or len(_unmarked(kept)) == len(_unmarked(got)) and len(cut) > 0.97 * len(body):
                     continue
-                data.append((self._features(q, asked, parts, cut, english), [ANSWER] * (len(parts) - 1) + [UNFINISHED]))
+                data.append((self._features(q, asked, kept, cut, english), [ANSWER] * (len(kept) - 1) + [UNFINISHED]))
             elif kind == 7 and len(asked) == len(got) > 1:
                 k, f = int(rng.integers(1, len(asked))), float(rng.uniform(0.15, 0.9))
                 ends = "…" if rng.random() < 0.5 else ""
-                parts = [*got[:k], got[k][: max(2, int(f * len(got[k])))].rstrip() + ends]
+                kept = [*got[:k], got[k][: max(2, int(f * len(got[k])))].rstrip() + ends]
                 ask = [*asked[:k], asked[k][: max(2, int(f * len(asked[k])))].rstrip() + ends]
-                data.append((self._features("\n".join(ask), ask, parts, "\n".join(parts), english), [ANSWER] * len(parts)))
+                data.append((self._features("\n".join(ask), ask, kept, "\n".join(kept), english), [ANSWER] * len(kept)))
             elif kind == 8 and not english:
                 if i % 20 < 10:
                     data.append((self._features(q, asked, asked, q, english), [ECHO] * len(asked)))
@@ -348,8 +350,8 @@ class Judge:
                         data.append((self._features(q, asked, theirs, other, True), [FOREIGN] * len(theirs)))
             elif kind == 9:
                 own, wording = unseen[i // 10 % 2]
-                parts = [own[int(k)] for k in rng.choice(len(own), int(rng.integers(1, 4)), replace=False)]
-                data.append((self._features(q, asked, parts, "\n".join(parts), english, wording), [REFUSAL] * len(parts)))
+                said = [own[int(k)] for k in rng.choice(len(own), int(rng.integers(1, 4)), replace=False)]
+                data.append((self._features(q, asked, said, "\n".join(said), english, wording), [REFUSAL] * len(said)))
             else:
                 data.append((self._features(q, asked, got, body, english), [ANSWER] * len(got)))
         return data

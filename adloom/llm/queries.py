@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,9 @@ LABELS = {"responsibilities": "responsibilities_lang", "job_title": "job_title_l
 TEXTS, TITLES = ("responsibilities", "description_english"), ("job_title", "job_title_english")
 
 
+_JUDGES: dict[str, Judge] = {}
+
+
 def ads_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "jobads_jp")
 
@@ -32,7 +36,13 @@ def language_model(ads: DataFrame) -> Model:
 def judge_of(ads: DataFrame) -> Judge:
     """The language model and the judge of one sample, read once."""
     rows = row_sample(ads, "id", [F.col(c) for c in (*LABELS, *LABELS.values(), TEXTS[1], TITLES[1])])
-    return fit_judge(rows, TEXTS, TITLES, fit(rows, LABELS))
+    # the models of a sample are kept for the session's other queries: they follow from it alone
+    key = xxhash.xxh3_128_hexdigest(repr([tuple(r) for r in rows]))
+    if key not in _JUDGES:
+        while len(_JUDGES) >= 2:
+            _JUDGES.pop(next(iter(_JUDGES)))
+        _JUDGES[key] = fit_judge(rows, TEXTS, TITLES, fit(rows, LABELS))
+    return _JUDGES[key]
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

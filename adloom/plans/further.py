@@ -38,6 +38,19 @@ def sqlite_scan(t):
     return sqlite.read_sqlite(t.spark, path, "occupations", columns=["code", "title"])
 
 
+@query("src03_database", "SELECT id, strftime(collected_at, '%Y-%m-%d') AS day FROM jobads_jp WHERE collected_at >= TIMESTAMP '2025-01-01' AND collected_at < TIMESTAMP '2026-01-01'")
+def database(t):
+    # the database that comes with Spark stands for the remote one; it lives in one process, so this query runs in local sessions only
+    if not t.spark.sparkContext.master.startswith("local["):
+        raise ValueError("the stand-in for a database can't be reached by other processes")
+    t.spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")  # no log in the working folder
+    url, ads = f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true", t.jobads_jp.where("collected_at is not null").select("id", F.date_format("collected_at", "yyyy-MM-dd").alias("day"))
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    ads.write.option("createTableColumnTypes", "id BIGINT, day VARCHAR(10)").jdbc(url, "ads", properties=driver)
+    read = tables.read_jdbc(t.spark, url, "ads", tables.year_predicates('"day"', 2024, 2026), ["id", "day"], **driver)
+    return files.in_year(read, "day", 2025)
+
+
 @query("src05_catalog", "SELECT name FROM (SHOW TABLES) WHERE starts_with(name, 'esco_')")
 def catalog_listing(t):
     return t.spark.createDataFrame([(n,) for n in tables.list_tables(t.spark, t.sf_dir, "esco_")], "name string")
@@ -142,7 +155,7 @@ def report(t):
     return one.select("threshold", "source", F.explode("b").alias("branch", "n"))
 
 
-@query("snk05_insert", "SELECT job_url, source, region_iso, NULL AS isic FROM jobads_jp UNION ALL SELECT job_url, source, region_iso, NULL FROM offers")
+@query("snk05_insert", "SELECT job_url, source, region_iso, CAST(NULL AS VARCHAR) AS isic FROM jobads_jp UNION ALL SELECT job_url, source, region_iso, NULL FROM offers")
 def insert(t):
     path = folder(t, "table")
     t.jobads_jp.select("job_url", "source", "region_iso", F.lit(None).cast("string").alias("isic")).write.parquet(path)

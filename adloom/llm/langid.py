@@ -35,7 +35,9 @@ _LOWER = re.compile(r"(?<![^\W\d_])[a-zß-öø-ÿāăąćčďđēęěğīıłń
 _RUNS = re.compile(r"(?P<kana>[ぁ-ゖァ-ヺー々ゝゞ]+)|(?P<han>[㐀-䶿一-鿿𠀀-𯿿]+)|(?P<hangul>[가-힣ᄀ-ᇿ㄰-㆏]+)")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 #: Sentence and item ends: line breaks, full stops of unspaced scripts, stops before whitespace, a slash or bar between spaces.
-_END = re.compile(r"[\r\n  \x0b\x0c]+|(?<=[。！？｡])(?![」』）)”\"])|(?<=[.!?…])[\"”’»)]*\s+|\s+[/|｜／]\s+")
+_BREAKS = "\r\n\u2028\u2029\x0b\x0c"
+_MARKS = re.compile(f"[{_BREAKS}。！？｡.!?…/|｜／]")
+_BREAK, _SPACE, _BAR, _AFTER_STOP = re.compile(f"[{_BREAKS}]+"), re.compile(r"\s*"), re.compile(r"\s*[/|｜／]\s+"), re.compile(r"[\"”’»)]*\s+")
 
 #: What a company's name has.
 _COMPANY = re.compile(r"\b(?:Co\.?,? ?Ltd|Inc|Corp|LLC|GmbH|K\.K)\b|株式会社|合同会社|有限会社|有限公司|주식회사|㈱", re.I)
@@ -44,10 +46,29 @@ _COMPANY = re.compile(r"\b(?:Co\.?,? ?Ltd|Inc|Corp|LLC|GmbH|K\.K)\b|株式会社
 def sentences(text: str) -> list[tuple[int, int]]:
     """Spans of sentences and list items."""
     out, at = [], 0
-    for m in _END.finditer(text):
-        if text[at : m.start()].strip():
-            out.append((at, m.start()))
-        at = m.end()
+    for m in _MARKS.finditer(text):
+        i, c = m.start(), m[0]
+        if i < at:
+            continue
+        if c in _BREAKS:
+            end, to = i, _BREAK.match(text, i).end()
+            if i > at and text[i - 1].isspace() and (bar := _BAR.match(text, to)):
+                to = bar.end()
+        elif c in "。！？｡":
+            if text[i + 1 : i + 2] in ("」", "』", "）", ")", "”", '"'):
+                continue
+            end = to = i + 1
+        elif c in ".!?…":
+            if text[i + 1 : i + 2] in (*_BREAKS, "") or not (after := _AFTER_STOP.match(text, i + 1)):
+                continue
+            end, to = i + 1, after.end()
+        else:
+            end, to = at + len(text[at:i].rstrip()), _SPACE.match(text, i + 1).end()
+            if end == i or to == i + 1:
+                continue
+        if text[at:end].strip():
+            out.append((at, end))
+        at = to
     if text[at:].strip():
         out.append((at, len(text)))
     return out

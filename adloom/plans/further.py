@@ -40,14 +40,10 @@ def sqlite_scan(t):
 
 @query("src03_database", "SELECT id, strftime(collected_at, '%Y-%m-%d') AS day FROM jobads_jp WHERE collected_at >= TIMESTAMP '2025-01-01' AND collected_at < TIMESTAMP '2026-01-01'")
 def database(t):
-    # the database that comes with Spark stands for the remote one; it lives in one process, so this query runs in local sessions only
-    if not t.spark.sparkContext.master.startswith("local["):
-        raise ValueError("the stand-in for a database can't be reached by other processes")
-    t.spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")  # no log in the working folder
-    url, ads = f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true", t.jobads_jp.where("collected_at is not null").select("id", F.date_format("collected_at", "yyyy-MM-dd").alias("day"))
-    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    ads.write.option("createTableColumnTypes", "id BIGINT, day VARCHAR(10)").jdbc(url, "ads", properties=driver)
-    read = tables.read_jdbc(t.spark, url, "ads", tables.year_predicates('"day"', 2024, 2026), ["id", "day"], **driver)
+    # the database that comes with Spark stands for the remote one
+    ads = t.jobads_jp.where("collected_at is not null").select("id", F.date_format("collected_at", "yyyy-MM-dd").alias("day"))
+    url = tables.derby_database(ads, folder(t, "database"), "ads", '"id" BIGINT, "day" VARCHAR(10)')
+    read = tables.read_jdbc(t.spark, url, "ads", tables.year_predicates('"day"', 2024, 2026), ["id", "day"], **tables.DERBY)
     return files.in_year(read, "day", 2025)
 
 

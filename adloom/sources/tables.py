@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import glob
+import os
+import shutil
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from adloom.sources.sqlite import spark_type
+from adloom.sources.sqlite import _local, spark_type
 
 
 def _system(spark: SparkSession, path: str):
@@ -87,3 +93,43 @@ def read_jdbc(spark: SparkSession, url: str, table: str, predicates: list[str],
     is opened outside, as executors need it too."""
     df = spark.read.jdbc(url, table, predicates=predicates, properties=properties)
     return df.select(*columns) if columns else df
+
+
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def derby_database(rows: DataFrame, path: str, name: str, columns: str) -> str:
+    """The URL of a new database of one table, filled with rows of figures and words, by the database that comes with Spark.
+
+    A database of it that may be written to belongs to one process. So tasks write lines, the driver loads these as a stream and closes the database, and what
+    any number of processes then read is an archive of it in a shared folder, which must be mounted where executors run.
+    """
+    jvm = rows.sparkSession._jvm
+    jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")  # no log in the working folder
+    rows.write.option("emptyValue", '""').csv(f"{path}.lines")
+    own = tempfile.mkdtemp(prefix="adloom-database-")
+    driver, nothing = jvm.org.apache.derby.iapi.jdbc.AutoloadedDriver(), jvm.java.util.Properties()
+    try:
+        with open(f"{own}/lines", "wb") as out:
+            for part in sorted(glob.glob(f"{glob.escape(_local(path))}.lines/part-*")):
+                with open(part, "rb") as f:
+                    shutil.copyfileobj(f, out)
+        connection = driver.connect(f"jdbc:derby:{own}/db;create=true", nothing)
+        statement = connection.createStatement()
+        statement.execute(f"CREATE TABLE {name} ({columns})")
+        statement.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, '{name.upper()}', '{own}/lines', ',', '\"', 'UTF-8', 0)")
+        connection.close()
+        try:
+            driver.connect(f"jdbc:derby:{own}/db;shutdown=true", nothing)
+        except Exception as closed:
+            if "08006" not in str(closed.java_exception.getSQLState()):  # the state of a database that was closed
+                raise
+        with zipfile.ZipFile(_local(path), "w", zipfile.ZIP_STORED) as archive:  # not compressed, as pages are read in any order
+            for folder, _, files in os.walk(f"{own}/db"):
+                for f in files:
+                    archive.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), own))
+    finally:
+        shutil.rmtree(own)
+        system, place = _system(rows.sparkSession, f"{path}.lines")
+        system.delete(place, True)
+    return f"jdbc:derby:jar:({_local(path)})db"

@@ -1,6 +1,8 @@
 import json
 import random
 import sqlite3
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +69,18 @@ def test_tables(spark, tmp_path):
     assert [days.where(p).count() for p in parts] == [2, 1, 3]
 
 
+def test_database_of_many_processes(spark, tmp_path):
+    days = spark.createDataFrame([(1, "2024-05-01"), (2, "2025-01-01"), (3, None)], "id long, day string")
+    url = tables.derby_database(days, str(tmp_path / "d"), "ads", '"id" BIGINT, "day" VARCHAR(10)')
+    read = tables.read_jdbc(spark, url, "ads", tables.year_predicates('"day"', 2024, 2025), ["id", "day"], **tables.DERBY)
+    assert sorted(map(tuple, read.collect())) == [(1, "2024-05-01"), (2, "2025-01-01"), (3, None)] and read.rdd.getNumPartitions() == 3
+    # another process reads it while this one has it open
+    run = [sys.executable, "-c", f"from pyspark.sql import SparkSession; s = SparkSession.builder.getOrCreate(); print('rows', s.read.jdbc({url!r}, 'ads', properties={tables.DERBY}).count())"]
+    assert "rows 3" in subprocess.run(run, capture_output=True, text=True, cwd=tmp_path, timeout=120).stdout
+    empty = tables.derby_database(days.where("id > 3"), str(tmp_path / "e"), "ads", '"id" BIGINT, "day" VARCHAR(10)')
+    assert spark.read.jdbc(empty, "ads", properties=tables.DERBY).count() == 0 and sorted(p.name for p in tmp_path.iterdir() if p.name != "derby.log") == ["d", "e"]
+
+
 def test_files(spark, tmp_path):
     for name, n in (("jobads_jp_esco", 2), ("jobads_de_esco", 3), ("other", 4)):
         (tmp_path / f"{name}.jsonl").write_text("".join(f'{{"id": {i}}}\n' for i in range(n)))

@@ -3,6 +3,7 @@ import math
 import os
 import random
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -532,3 +533,43 @@ def test_judge_of_all_rows(spark, tmp_path):
             assert math.isclose(j.words[w], sum(r[6].endswith(w) for r in rows) * pairs.ROWS / len(rows))
     assert found[0] == found[1] and (7, "description_english", "empty") in found[0] and judges[0].field.index == judges[1].field.index
     assert np.allclose(judges[0].field.w, judges[1].field.w) and judges[0].model.words == judges[1].model.words
+
+
+def test_clauses_that_come_again(model, monkeypatch):
+    """A clause counts as often as it comes, but is cut into words and scored once."""
+    random.seed(6)
+    ja, en = ["厨房の掃除を毎日お任せします。", "受付の担当を募集しています。", "制服は貸与します。", "応募は電話のみ。"], ["Cleaning the kitchen is your daily task.", "We look for someone at the reception desk.", "Don't bring a uniform.", "Café staff: 9 to 5"]
+    said = [("\n".join(random.sample(ja, 3)), "\n".join(random.sample(en, 3)), random.choice(("ja", "en", None))) for _ in range(200)]
+    cut_up, scored, words, score = [], [], pairs._WORDS, langid.Model.score
+
+    class Words:
+        def findall(self, text):
+            cut_up.append(text)
+            return words.findall(text)
+
+    monkeypatch.setattr(pairs, "_WORDS", Words())
+    monkeypatch.setattr(langid.Model, "score", lambda self, s, all_words=False: scored.append(s) or score(self, s, all_words))
+
+    def counted(most):
+        monkeypatch.setattr(pairs, "_READ", most, raising=False)
+        tally, out = pairs.Tally(), Counter()
+        for q, a, lang in said:
+            tally.pair(q, a, lang)
+            tally.head("受付スタッフ", "Reception clerk")
+            tally.label("ja", "受付スタッフ")
+        for kind, key, part, n in tally.rows():
+            out[kind, key, part] += n
+        return out
+
+    together = counted(10**9)
+    assert len(cut_up) <= 4 * len({c for q, a, _ in said for c in (q + "\n" + a).split("\n")})
+    assert together == counted(0) and together["t", "clerk", "l"] == 200 and together["u", "kitchen", ""] == sum("kitchen" in a for _, a, _ in said)
+    judge = pairs.Judge([x[:2] for x in said], [("受付スタッフ", "Reception clerk")] * 20, model)
+    scored.clear()
+    for q, a, _ in said:
+        assert judge.text(q, a) is None
+    assert len(scored) <= len(ja + en)
+    # what a few words tell at once is what the model says of the clause
+    for c in [*en, *TEXTS["en"], *TEXTS["de"], "Kitchen", "I can't", "I cannot assist", "der Koch und the cook"]:
+        known, own = score(judge.model, c), judge._clauses[c]
+        assert own[0] == (None if known is None else known.get("en", -9.0) > -1) and own[1] == judge.wording.hints(c)

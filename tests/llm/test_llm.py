@@ -573,3 +573,15 @@ def test_clauses_that_come_again(model, monkeypatch):
     for c in [*en, *TEXTS["en"], *TEXTS["de"], "Kitchen", "I can't", "I cannot assist", "der Koch und the cook"]:
         known, own = score(judge.model, c), judge._clauses[c]
         assert own[0] == (None if known is None else known.get("en", -9.0) > -1) and own[1] == judge.wording.hints(c)
+
+
+def test_titles_that_come_again(model, monkeypatch):
+    """A title is scored once, however often it comes."""
+    said = [("厨房の掃除を毎日お任せします。", "Cleaning the kitchen is your daily task.")] * 20
+    judge, scored, score = pairs.Judge(said, [("受付スタッフ", "Reception clerk")] * 20, model), [], langid.Model.score
+    monkeypatch.setattr(langid.Model, "score", lambda self, s, all_words=False: scored.append(s) or score(self, s, all_words))
+    want = [judge._title_features(q, a) for q, a in (("Küchenhilfe für die Nacht", "Kitchen help"), ("受付スタッフ", "受付スタッフ"))]
+    scored.clear()
+    for _ in range(50):
+        assert [judge._title_features(q, a) for q, a in (("Küchenhilfe für die Nacht", "Kitchen help"), ("受付スタッフ", "受付スタッフ"))] == want
+    assert not scored and "title same" in want[1]

@@ -585,3 +585,74 @@ def test_titles_that_come_again(model, monkeypatch):
     for _ in range(50):
         assert [judge._title_features(q, a) for q, a in (("Küchenhilfe für die Nacht", "Kitchen help"), ("受付スタッフ", "受付スタッフ"))] == want
     assert not scored and "title same" in want[1]
+
+
+def odd_texts(n):
+    """Texts of clauses in several scripts with marks, figures and slips at any place."""
+    rng = random.Random(11)
+    some = ["Cook", "don't", "l’été", "ﾊﾞｲﾄ", "東京Tower", "受付の担当", "10:30", "2,450.5", "İstanbul", "số", "x_y", "a'b'c", "'", "’", "…", "(日本)", "Küche", "調理 ", "がんばる", "한국어", "𠮟る", "²", "3a", "N°5", "cannot", "-", "·"]
+    glue = [" ", " ", " ", "", ". ", "。", "\n", "!\n", ", ", "  "]
+    return ["".join(rng.choice(some) + rng.choice(glue) for _ in range(rng.randrange(1, 40))) for _ in range(n)]
+
+
+def test_counts_of_odd_clauses():
+    """What is counted of all clauses at once is what is counted of each."""
+    texts = [pairs.nfkc(x) for x in odd_texts(300)]
+    tally, got, want, sure = pairs.Tally(), Counter(), Counter(), ("A", "A1", "P", "P1", "u", "U")
+    for q, a in zip(texts, texts[1:]):
+        tally.pair(q, a, "ja")
+        for name, text in (("P", q), ("A", a)):
+            parts = pairs.clauses(text)
+            for k, c in enumerate(parts):
+                found = pairs._WORDS.findall(c)
+                for u in [u for w in found if not w[0].isdecimal() for u in ([w.lower()[i : i + 2] for i in range(len(w.lower()) - 1)] or [w.lower()] if w.lower()[0] > "⹿" else [w.lower().replace("’", "'")])]:
+                    want["u", u, ""] += 1
+                    want["U", "", ""] += 1
+                if not c.isascii() and (c[-1] > "⹿" or c[0] > "⹿"):
+                    inside = list(zip(c[:-2], c[1:-1]))
+                else:
+                    inside = list(itertools.pairwise(["^", *map(pairs._class, found[:-1])]))
+                for part, some in (("m", inside), ("e", [pairs._ending(c)] if k + 1 < len(parts) else [])):
+                    for x, y in some:
+                        if y != "^":
+                            want[name, f"{x}\x1f{y}", part] += 1
+                            want[f"{name}1", y, part] += 1
+    for kind, key, part, n in tally.rows():
+        if kind in sure and n:
+            got[kind, key, part] += n
+    assert got == want and len({k for k, _, _ in got}) == len(sure)
+
+
+def test_clauses_known_together(model):
+    """What is found of many clauses at once is what is found of each."""
+    judge = pairs.Judge([("厨房の掃除を毎日お任せします。", "Cleaning the kitchen is your daily task.")] * 20, [("受付スタッフ", "Reception clerk")] * 20, model)
+    some = {c for x in [*odd_texts(300), *(x for v in TEXTS.values() for x in v), *pairs.REFUSALS] for c in pairs.clauses(pairs.nfkc(x))}
+    judge.know(some)
+    assert len(judge._clauses) > len(some) / 10
+    assert dict(judge._clauses) == {c: judge._clause(c) for c in judge._clauses}
+
+
+def test_likeness_to_prompt():
+    """Likeness found from what a response has in common with its prompt is that of each clause's own letters."""
+    rng = random.Random(5)
+    for q in [*map(pairs.nfkc, odd_texts(200)), "abc", "日本"]:
+        body = rng.choice([q, q[: len(q) // 2] + " . Another thing is said here. " + q[-9:], "Nothing of it.\nabc", "We cook."])
+        grams, got = pairs._grams(q), pairs.clauses(body)
+        share = [len(pairs._grams(c) & grams) / len(pairs._grams(c)) for c in got]
+        assert pairs._likeness(got, body, grams) == (pairs._near(bare(body), grams), [pairs._bin(x, 0.35, 0.6) for x in share])
+
+
+def test_different_clauses_are_cut_into_words_together(monkeypatch):
+    """Clauses that are all different aren't cut into words one by one, which p1_found hasn't the time for."""
+    cut_up, words, tally = [], pairs._WORDS, pairs.Tally()
+
+    class Words:
+        def findall(self, text):
+            cut_up.append(text)
+            return words.findall(text)
+
+    monkeypatch.setattr(pairs, "_WORDS", Words())
+    for i in range(100):
+        tally.pair("\n".join(f"受付の担当{20 * i + k}を募集。" for k in range(20)), "\n".join(f"We look for clerk {20 * i + k} at the desk" for k in range(20)), "ja")
+    assert sum(n for kind, key, _, n in tally.rows() if (kind, key) == ("u", "clerk")) == 2000
+    assert len(cut_up) < 100
